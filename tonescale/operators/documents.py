@@ -58,6 +58,7 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
     hashing the ids (a small part of each partition's text) spares sorting the
     texts.  Later steps by ``doc_id`` reuse this partitioning.
     """
+    docs = docs.filter(F.col("doc_id").isNotNull())
     keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"))
     survivors = first_copies(keyed).hint("shuffle_hash")
     return docs.join(survivors, "doc_id", "left_semi")

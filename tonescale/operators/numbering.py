@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tonescale.runtime import cut_lineage
+from tonescale.runtime import write_once
 
 # monotonically_increasing_id: partition number above, row number below bit 33.
 _ROW_BITS = 33
@@ -33,13 +33,13 @@ def _with_positions(fixed: DataFrame, block: list[str], running: str, name: str)
 def with_positions(frame: DataFrame, key: str | list[str], name: str = "position") -> DataFrame:
     """Add the 0-based rank of every row in the order of a unique key.
 
-    The rows are range-partitioned by the key, so pass narrow rows.  The
-    checkpoint fixes which row is in which partition before sizes are counted.
+    The rows are range-partitioned by the key, so pass narrow rows.  They
+    are written before sizes are counted, which fixes each row's partition.
     """
     keys = [key] if isinstance(key, str) else list(key)
     ordered = frame.repartitionByRange(*keys).sortWithinPartitions(*keys)
     running = F.monotonically_increasing_id()
-    fixed = cut_lineage(ordered.withColumn("_running", running))
+    fixed = write_once(ordered.withColumn("_running", running), "positions")
     fixed = fixed.withColumn("_block", F.shiftright("_running", _ROW_BITS))
     return _with_positions(fixed, ["_block"], "_running", name)
 
@@ -58,7 +58,7 @@ def assign_doc_ids(frame: DataFrame) -> DataFrame:
             "_running": F.monotonically_increasing_id(),
         }
     )
-    fixed = cut_lineage(located)
+    fixed = write_once(located, "doc-ids")
     numbered = _with_positions(fixed, ["_path", "_start"], "_running", "doc_id")
     return numbered.select((F.col("doc_id") + 1).alias("doc_id"), *frame.columns)
 

@@ -13,13 +13,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonescale.functions.labels import score_to_label
 from tonescale.functions.text import has_token, text_key, text_tokens
-from tonescale.schemas import LEXICON
 from tonescale.operators.documents import fill_missing_text, first_copies, prepare_documents
+from tonescale.runtime import write_once
+from tonescale.schemas import LEXICON
 
 # Above this many terms the per-weight hit counts of the literal form cost
 # more than the join (measured in README, "Choosing the scoring form").
@@ -37,7 +39,14 @@ SCORE_COLUMNS = ("score", "positive_hits", "negative_hits")
 def lexicon_table(spark: SparkSession, weights: dict[str, int]) -> DataFrame:
     """A lexicon table from a small mapping, keys folded to lower case."""
     folded = {word.lower(): weight for word, weight in weights.items()}
-    return spark.createDataFrame(list(folded.items()), LEXICON)
+    columns = pa.table(
+        {
+            "token": pa.array(list(folded), pa.string()),
+            "weight": pa.array(list(folded.values()), pa.int64()),
+        }
+    )
+    # An Arrow table becomes a local relation: reading it needs no job.
+    return spark.createDataFrame(columns, LEXICON)
 
 
 def small_lexicon(lexicon: DataFrame, limit: int = LITERAL_TERMS) -> dict[str, int] | None:
@@ -52,6 +61,11 @@ def lexicon_bytes(lexicon: DataFrame) -> int:
     return size or 0
 
 
+def lexicon_size(lexicon: DataFrame) -> int:
+    weights = small_lexicon(lexicon)
+    return lexicon.count() if weights is None else len(weights)
+
+
 def choose_form(lexicon: DataFrame, form: str = "auto") -> tuple[str, dict[str, int] | None]:
     """The form to use and, for the literal one, the lexicon as a mapping."""
     if form in ("auto", "literal"):
@@ -165,21 +179,22 @@ def shuffled_scores(
 ) -> DataFrame:
     """As ``broadcast_scores`` for a lexicon too large to broadcast.
 
-    Tokens are counted per document first.  The fewer than ``hot_parts`` hot
+    Tokens are counted per document first, in a written table, so that the
+    texts are cleaned once.  The fewer than ``hot_parts`` hot
     tokens get their weights by broadcast, the others by a shuffled join in
     which no key is hot.
     """
     carry = list(carry)
-    counted = (
+    counted = write_once(
         _exploded(docs, fold, carry)
         .groupBy("doc_id", *carry, "token")
-        .agg(F.count("token").alias("n"), F.sum("starts").alias("starts"))
+        .agg(F.count("token").alias("n"), F.sum("starts").alias("starts")),
+        "token-counts",
     )
     terms = lexicon.select("token", "weight")
 
-    # Token frequencies come from the whole corpus; the sum over them is one row.
-    frequencies = _exploded(docs, fold).groupBy("token").agg(F.count("token").alias("frequency"))
-    in_all = frequencies.agg(F.sum("frequency")).first()[0] or 0
+    frequencies = counted.groupBy("token").agg(F.sum("n").alias("frequency"))
+    in_all = counted.agg(F.sum("n")).first()[0] or 0
     hot = frequencies.filter(F.col("frequency") * hot_parts > in_all).select("token")
     hot_terms = F.broadcast(hot.join(terms, "token", "left").withColumn("hot", F.lit(True)))
 
@@ -232,45 +247,53 @@ def score_corpus(
 ) -> DataFrame:
     """Scores of the unique documents of a raw corpus, as narrow rows.
 
-    With a literal lexicon the texts are read once and never shuffled: a score
-    depends on the text alone, so documents are scored where they are read and
-    the copies are merged afterwards on digest, id and numbers.  ``carry``
-    names further columns to take from the kept row.
+    The texts are read once and, up to broadcast lexicons, never shuffled: a
+    score depends on the text alone, so documents are scored where they are
+    read and the copies are merged afterwards on digest, id and numbers.
+    ``carry`` names further columns to take from the kept row.
     """
     carry = list(carry)
     filled = fill_missing_text(docs, null_policy).filter(has_token(F.col("text")))
     chosen, weights = choose_form(lexicon, form)
     numbers = [*SCORE_COLUMNS, "token_count"]
+    read = filled.select(
+        "doc_id",
+        *carry,
+        text_key(F.col("text")).alias("text_key"),
+        text_tokens(F.col("text")).alias("tokens"),
+    )
     if chosen == "literal":
-        read = filled.select(
-            "doc_id",
-            *carry,
-            text_key(F.col("text")).alias("text_key"),
-            text_tokens(F.col("text")).alias("tokens"),
-        )
         sized = read.withColumn("token_count", F.size("tokens").cast("bigint"))
         scored = literal_scores(sized, weights, fold=False)
-        unique = first_copies(scored.select("doc_id", "text_key", *numbers, *carry), numbers, carry)
+    elif chosen == "broadcast":
+        scored = broadcast_scores(read, lexicon, fold=False, carry=["text_key", *carry])
+    if chosen == "shuffled":
+        # Here every token is shuffled, so copies leave first.
+        unique = shuffled_scores(prepare_documents(filled, null_policy), lexicon, fold=False, carry=carry)
     else:
-        scorer = broadcast_scores if chosen == "broadcast" else shuffled_scores
-        unique = scorer(prepare_documents(filled, null_policy), lexicon, fold=False, carry=carry)
+        narrow = scored.select("doc_id", "text_key", *numbers, *carry)
+        unique = first_copies(narrow, numbers, carry)
     return unique.select(
         "doc_id", *carry, *numbers, score_to_label(F.col("score")).alias("predicted_sentiment")
     )
 
 
 def lexicon_hits(prepared: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Occurrences and documents of every lexicon term found in the corpus."""
+    """Occurrences and documents of every lexicon term found in the corpus.
+
+    A broadcast lexicon filters the tokens where they are; a larger one meets
+    the complete counts, one row per token, so that no key is hot.
+    """
     terms = lexicon.select("token", "weight")
-    if lexicon_bytes(lexicon) <= BROADCAST_BYTES:
-        terms = F.broadcast(terms)
-    # Terms are looked up after the per-token counts are complete, when each
-    # token is one row and no key can be hot.
+    tokens = prepared.select("doc_id", F.explode_outer("tokens").alias("token"))
+    small = lexicon_bytes(lexicon) <= BROADCAST_BYTES
+    if small:
+        tokens = tokens.join(F.broadcast(terms.select("token")), "token", "left_semi")
     counts = (
-        prepared.select("doc_id", F.explode("tokens").alias("token"))
-        .groupBy("doc_id", "token")
+        tokens.groupBy("doc_id", "token")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("token")
         .agg(F.sum("n").alias("hits"), F.count(F.lit(1)).alias("documents"))
     )
-    return counts.join(terms, "token").select("token", "weight", "hits", "documents")
+    counted = counts.join(F.broadcast(terms) if small else terms, "token")
+    return counted.select("token", "weight", "hits", "documents")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tonescale.functions.labels import is_class, normalize_label
 from tonescale.functions.ratios import ratio
+from tonescale.operators.scoring import lexicon_size
 from tonescale.schemas import CLASSES
 
 PARTIAL_COLUMNS = ("documents", *CLASSES, "evaluated", "correct")
@@ -72,7 +73,7 @@ def summarize(scored: DataFrame, any_label: bool = False) -> DataFrame:
 
 def sentiment_summary(scored: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Summary with the number of lexicon terms; only the 3 classes are evaluated."""
-    terms = F.lit(lexicon.count()).cast("bigint").alias("lexicon_terms")
+    terms = F.lit(lexicon_size(lexicon)).cast("bigint").alias("lexicon_terms")
     return summarize(scored).select("*", terms)
 
 

@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Tokens are exploded with the outer generators throughout.  From a plain
+# explode Catalyst infers the filter size(tokens) > 0 and pushes it to the
+# scan, where it would clean and split every text a second time.
+
 
 def vocabulary(prepared: DataFrame) -> DataFrame:
     """Frequency of every token; counted per task before the shuffle."""
     return (
-        prepared.select(F.explode("tokens").alias("token"))
+        prepared.select(F.explode_outer("tokens").alias("token"))
+        .filter(F.col("token").isNotNull())
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("frequency"))
     )
@@ -23,7 +28,8 @@ def ranked_vocabulary(prepared: DataFrame) -> DataFrame:
     already partitioned by ``doc_id``.
     """
     per_document = (
-        prepared.select("doc_id", F.posexplode("tokens").alias("pos", "token"))
+        prepared.select("doc_id", F.posexplode_outer("tokens").alias("pos", "token"))
+        .filter(F.col("token").isNotNull())
         .groupBy("doc_id", "token")
         .agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("pos"))
     )
@@ -67,7 +73,7 @@ def corpus_summary(prepared: DataFrame) -> DataFrame:
     counts documents and tokens in the same pass.
     """
     counts = (
-        prepared.select(F.explode(F.array_append("tokens", F.lit(None))).alias("token"))
+        prepared.select(F.explode_outer(F.array_append("tokens", F.lit(None))).alias("token"))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("frequency"))
     )

@@ -12,6 +12,10 @@ from tonescale.operators.vocabulary import vocabulary
 from tonescale.runtime import fill_cores
 from tonescale.sources.lexicon import parse_lexicon
 
+DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+LABELS = "doc_id bigint, quality int, toxic int"
+TURNS = "conv_id bigint, turn bigint, role string, text string"
+
 # Test lexicon with weights of both signs, magnitudes 1 and 2,
 # and a zero weight, whose words occur in the test tables.
 TEST_LEXICON = {
@@ -50,8 +54,9 @@ LEXICON_JSON = json.dumps(
 
 
 def documents(spark: SparkSession, sf_dir: str, *carry: str) -> DataFrame:
-    table = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", *carry)
-    return fill_cores(table, "doc_id")
+    """The corpus: id, text and the named further columns."""
+    table = spark.read.schema(DOCUMENTS).parquet(f"{sf_dir}/documents.parquet")
+    return fill_cores(table.select("doc_id", "text", *carry), "doc_id")
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,11 +66,12 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("quality") == 1, "positive")
         .when(F.col("quality") == 0, "neutral")
     )
-    return spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", label.alias("label"))
+    table = spark.read.schema(LABELS).parquet(f"{sf_dir}/labels.parquet")
+    return table.select("doc_id", label.alias("label"))
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return spark.read.schema(TURNS).parquet(f"{sf_dir}/conversations.parquet")
 
 
 def test_lexicon(spark: SparkSession) -> DataFrame:
@@ -77,7 +83,7 @@ def revised_lexicon(spark: SparkSession) -> DataFrame:
 
 
 def parsed_lexicon(spark: SparkSession) -> DataFrame:
-    return parse_lexicon(spark.createDataFrame([(LEXICON_JSON,)], "value string"))
+    return parse_lexicon(spark.range(1).select(F.lit(LEXICON_JSON).alias("value")))
 
 
 def vocabulary_lexicon(prepared: DataFrame) -> DataFrame:

@@ -107,14 +107,10 @@ def corpus_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lexicon_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every term of the parsed lexicon with its corpus frequency."""
-    found = words.vocabulary(_prepared(spark, sf_dir))
-    terms = F.broadcast(inputs.parsed_lexicon(spark))
-    # Counts are one row per token; the few terms are broadcast to them.
-    counts = found.join(terms, "token").select("token", "frequency")
-    joined = inputs.parsed_lexicon(spark).join(counts, "token", "left")
-    return joined.select(
-        "token", "weight", F.coalesce("frequency", F.lit(0).cast("bigint")).alias("frequency")
-    )
+    lexicon = inputs.parsed_lexicon(spark)
+    found = scoring.lexicon_hits(_prepared(spark, sf_dir), lexicon).select("token", "hits")
+    frequency = F.coalesce("hits", F.lit(0).cast("bigint")).alias("frequency")
+    return lexicon.join(found, "token", "left").select("token", "weight", frequency)
 
 
 def lexicon_hits(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,10 +59,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(frame: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later reads see one fixed result, also after losses."""
-    checkpoint_dir(frame.sparkSession)
-    return frame.checkpoint()
+def write_once(frame: DataFrame, name: str) -> DataFrame:
+    """Compute a frame now, as a Parquet table in the shared folder.
+
+    Every later read sees this one result, also after lost executors.
+    """
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
 def fill_cores(frame: DataFrame, key: str) -> DataFrame:

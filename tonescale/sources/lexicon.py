@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonescale.operators.scoring import lexicon_table
+from tonescale.operators.scoring import lexicon_table, small_lexicon
 
 # The default financial lexicon, +1 and -1 per word.
 POSITIVE_WORDS = """
@@ -23,6 +23,9 @@ slow slower failed failure pressure pressured lawsuit penalty
 """
 
 
+LOCAL_TERMS = 10_000
+
+
 def default_lexicon(spark: SparkSession) -> DataFrame:
     weights = {word: 1 for word in POSITIVE_WORDS.split()}
     weights.update({word: -1 for word in NEGATIVE_WORDS.split()})
@@ -67,11 +70,14 @@ def parse_lexicon(source: DataFrame) -> DataFrame:
     wrong = words.filter(F.coalesce(F.col("kind") != "BIGINT", F.lit(True))).select("word", "kind").first()
     if wrong is not None:
         raise ValueError(f"weight of '{wrong.word}' must be an integer, not {wrong.kind}")
-    return words.groupBy(F.lower("word").alias("token")).agg(
+    table = words.groupBy(F.lower("word").alias("token")).agg(
         F.max_by(
             F.variant_get("value", "$", "bigint"), F.struct("block_pos", "word_pos")
         ).alias("weight")
     )
+    # A lexicon of ordinary size is parsed once and kept as a local relation.
+    weights = small_lexicon(table, LOCAL_TERMS)
+    return table if weights is None else lexicon_table(source.sparkSession, weights)
 
 
 def load_lexicon(spark: SparkSession, path: str) -> DataFrame:
