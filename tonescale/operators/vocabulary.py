@@ -20,23 +20,31 @@ def vocabulary(prepared: DataFrame) -> DataFrame:
     )
 
 
+# Positions fit below this, so doc_id * POSITIONS + position orders occurrences.
+POSITIONS = 2**31
+
+
 def ranked_vocabulary(prepared: DataFrame) -> DataFrame:
     """Vocabulary with ``first_doc`` and ``first_pos``, where a token first occurs.
 
-    Counting per document first keeps every buffer a plain number, so both
-    steps are hash aggregates, and the first needs no shuffle on documents
-    already partitioned by ``doc_id``.
+    The occurrence is one exact decimal.  Its minimum has a fixed-size buffer,
+    so counting stays a hash aggregate; the minimum of a (document, position)
+    struct would sort all tokens.
     """
-    per_document = (
-        prepared.select("doc_id", F.posexplode_outer("tokens").alias("pos", "token"))
-        .filter(F.col("token").isNotNull())
-        .groupBy("doc_id", "token")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("pos"))
+    ids = F.col("doc_id").cast("decimal(20,0)") * F.lit(POSITIONS).cast("decimal(10,0)")
+    tokens = prepared.select(
+        ids.alias("before"), F.posexplode_outer("tokens").alias("pos", "token")
+    ).filter(F.col("token").isNotNull())
+    counts = tokens.groupBy("token").agg(
+        F.count(F.lit(1)).alias("frequency"),
+        F.min(F.col("before") + F.col("pos").cast("decimal(10,0)")).alias("first_seen"),
     )
-    return per_document.groupBy("token").agg(
-        F.sum("n").alias("frequency"),
-        F.min("doc_id").alias("first_doc"),
-        F.min_by("pos", "doc_id").alias("first_pos"),
+    first_pos = F.pmod("first_seen", F.lit(POSITIONS).cast("decimal(10,0)"))
+    return counts.withColumn("first_pos", first_pos).select(
+        "token",
+        "frequency",
+        F.expr(f"(first_seen - first_pos) div {POSITIONS}").alias("first_doc"),
+        F.col("first_pos").cast("bigint").alias("first_pos"),
     )
 
 

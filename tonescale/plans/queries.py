@@ -90,8 +90,7 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ranked_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = words.ranked_vocabulary(_prepared(spark, sf_dir))
-    return ranked.withColumn("first_pos", F.col("first_pos").cast("bigint"))
+    return words.ranked_vocabulary(_prepared(spark, sf_dir))
 
 
 def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
