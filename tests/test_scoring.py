@@ -124,8 +124,9 @@ def test_form_follows_the_size_of_the_lexicon(spark, monkeypatch):
     large = scoring.lexicon_table(spark, {f"t{i}": 1 for i in range(scoring.LITERAL_TERMS + 1)})
     with pytest.raises(ValueError):
         scoring.choose_form(large, "literal")
-    with pytest.raises(ValueError):
-        scoring.choose_form(large, "fast")
+    for form in ("broadcast", "fast"):
+        with pytest.raises(ValueError):
+            scoring.choose_form(large, form)
 
 
 @pytest.mark.parametrize("limit", [10**9, 0])

@@ -89,6 +89,19 @@ def test_positions_follow_the_key_whatever_the_partitions(spark):
         assert rows(numbered) == sorted(((k, p) for p, k in enumerate(sorted(ids))), key=repr)
 
 
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_offsets_are_broadcast_up_to_a_bound(spark, monkeypatch, limit):
+    monkeypatch.setattr(numbering, "BROADCAST_BLOCKS", limit)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbered = numbering.with_positions(spark.range(5000, 0, -1), "id")
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+        assert rows(numbered) == sorted(((i, i - 1) for i in range(1, 5001)), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ("BroadcastHashJoin" in plan) == (limit > 0)
+
+
 def test_positions_by_two_columns(spark):
     keys = [(c, t) for c in range(20) for t in range(c % 5 + 1)]
     numbered = numbering.with_positions(spark.createDataFrame(keys, "c int, t int"), ["c", "t"])

@@ -65,6 +65,12 @@ def test_empty_and_surrounded_texts(spark):
     ]
 
 
+def test_strip_is_linear_on_long_runs_of_spaces(spark):
+    inner = "a" + " " * 200_000 + "b"
+    frame = spark.createDataFrame([(f"\t {inner} \n",)], "text string")
+    assert frame.select(T.strip(F.col("text"))).first()[0] == inner
+
+
 def test_text_key_is_distinct_and_short(spark):
     frame = spark.createDataFrame([("a",), ("b",), ("a",)], "text string")
     keys = [bytes(r[0]) for r in frame.select(T.text_key(F.col("text"))).collect()]

@@ -23,6 +23,8 @@ GAP_CLASS = f"{_PUNCTUATION}{SPACE_CLASS}"
 
 _SPACE_RUN = f"[{SPACE_CLASS}]+"
 _GAP_RUN = f"[{GAP_CLASS}]+"
+# Entered at the start of a run only and never re-split: linear on long runs.
+_LAST_SPACE_RUN = f"(?<![{SPACE_CLASS}])[{SPACE_CLASS}]++"
 
 MISSING_TEXT = "nan"
 
@@ -34,7 +36,7 @@ def text_or_missing(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Remove leading and trailing whitespace of any kind."""
-    return F.regexp_replace(text, f"^{_SPACE_RUN}|{_SPACE_RUN}$", "")
+    return F.regexp_replace(text, f"^{_SPACE_RUN}|{_LAST_SPACE_RUN}$", "")
 
 
 def is_blank(text: Column) -> Column:

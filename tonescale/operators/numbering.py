@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from tonescale.runtime import write_once
 
+# Offsets of so many blocks are broadcast (some 250 bytes each with a path).
+BROADCAST_BLOCKS = 500_000
+
 # monotonically_increasing_id: partition number above, row number below bit 33.
 _ROW_BITS = 33
 
@@ -24,6 +27,8 @@ def _with_positions(fixed: DataFrame, block: list[str], running: str, name: str)
     offsets = sizes.select(
         *block, "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
     )
+    if sizes.count() <= BROADCAST_BLOCKS:
+        offsets = F.broadcast(offsets)
     numbered = fixed.join(offsets, block)
     return numbered.withColumn(name, F.col("_offset") + F.col(running) - F.col("_first")).drop(
         *block, running, "_first", "_offset"

@@ -77,6 +77,8 @@ def choose_form(lexicon: DataFrame, form: str = "auto") -> tuple[str, dict[str,
         return ("broadcast" if lexicon_bytes(lexicon) <= BROADCAST_BYTES else "shuffled"), None
     if form not in ("broadcast", "shuffled"):
         raise ValueError(f"unknown scoring form: {form}")
+    if form == "broadcast" and lexicon_bytes(lexicon) > BROADCAST_BYTES:
+        raise ValueError(f"the broadcast form takes a lexicon of at most {BROADCAST_BYTES} bytes")
     return form, None
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tonescale.plans.inputs import REVISED_LEXICON, TEST_LEXICON
 from tonescale.plans.queries import CHUNK_SIZE
+from tonescale.schemas import CLASSES
 
 _WS = (
     r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
@@ -98,6 +99,44 @@ _SUMMARY = f"{_JUDGED} SELECT {_TOTAL}, count(label) AS evaluated_documents, {_A
 _RANKED = """
   SELECT token, count(*) AS frequency, min(row(doc_id, pos)) AS first_seen FROM words GROUP BY token"""
 
+_RATES = f"""{_MATRIX},
+totals AS (
+  SELECT c.label,
+         sum(n) FILTER (true_label = c.label AND predicted_sentiment = c.label) AS hits,
+         sum(n) FILTER (predicted_sentiment = c.label) AS predicted,
+         sum(n) FILTER (true_label = c.label) AS actual
+  FROM classes c CROSS JOIN matrix GROUP BY c.label),
+rates AS (
+  SELECT label, round(hits::DOUBLE / nullif(predicted, 0), 4) AS precision,
+         round(hits::DOUBLE / nullif(actual, 0), 4) AS recall, actual::BIGINT AS support
+  FROM totals),
+metrics AS (
+  SELECT label, precision, recall,
+         round(2 * precision * recall / nullif(precision + recall, 0), 4) AS f1, support
+  FROM rates)"""
+_METRICS = f"""{_SUMMARY}, count(*) FILTER (is_correct) AS correct_predictions,
+  round(sum(token_count)::DOUBLE / count(*), 2) AS avg_tokens_per_document,
+  round(sum(score)::DOUBLE / count(*), 4) AS avg_score
+FROM judged"""
+_TOTALS = """
+  count(*) AS documents_count,
+  sum(len(tokens))::BIGINT AS total_tokens,
+  (SELECT count(DISTINCT token) FROM words) AS unique_tokens,
+  coalesce(round(sum(len(tokens))::DOUBLE / nullif(count(*), 0), 2), 0.0) AS avg_tokens_per_document"""
+_NESTED = ", ".join(
+    [
+        f"(SELECT {measure} FROM metrics WHERE label = '{name}') AS {name}_{measure}"
+        for name in CLASSES
+        for measure in ("precision", "recall", "f1", "support")
+    ]
+    + [
+        f"(SELECT n FROM matrix WHERE true_label = '{true}' AND predicted_sentiment = '{predicted}') "
+        f"AS {true}_as_{predicted}"
+        for true in CLASSES
+        for predicted in CLASSES
+    ]
+)
+
 ORACLES: dict[str, str] = {
     "sentiment_summary": f"{_SUMMARY}, {len(TEST_LEXICON)}::BIGINT AS lexicon_terms FROM judged",
     "dedup_documents": f"WITH {_DOCS}, {_KEPT} SELECT doc_id, length(text) AS n_chars FROM kept",
@@ -123,13 +162,7 @@ ORACLES: dict[str, str] = {
     "top_words": f"""{_PREPARED}, ranked AS ({_RANKED})
         SELECT row_number() OVER (ORDER BY frequency DESC, first_seen) AS rank, token, frequency
         FROM ranked QUALIFY rank <= 20""",
-    "corpus_summary": f"""{_PREPARED}
-        SELECT count(*) AS documents_count,
-               sum(len(tokens))::BIGINT AS total_tokens,
-               (SELECT count(DISTINCT token) FROM words) AS unique_tokens,
-               coalesce(round(sum(len(tokens))::DOUBLE / nullif(count(*), 0), 2), 0.0)
-                 AS avg_tokens_per_document
-        FROM prepared""",
+    "corpus_summary": f"{_PREPARED} SELECT {_TOTALS} FROM prepared",
     "lexicon_terms": f"""{_PREPARED}, lexicon AS ({_lexicon(TEST_LEXICON)})
         SELECT l.token, l.weight::BIGINT AS weight, count(w.doc_id) AS frequency
         FROM lexicon l LEFT JOIN words w ON l.token = w.token GROUP BY ALL""",
@@ -172,24 +205,8 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, predicted_sentiment, score, token_count, label AS true_label, is_correct
         FROM judged""",
     "confusion_matrix": f"{_MATRIX} SELECT true_label, predicted_sentiment, n FROM matrix",
-    "class_metrics": f"""{_MATRIX},
-        totals AS (
-          SELECT c.label,
-                 sum(n) FILTER (true_label = c.label AND predicted_sentiment = c.label) AS hits,
-                 sum(n) FILTER (predicted_sentiment = c.label) AS predicted,
-                 sum(n) FILTER (true_label = c.label) AS actual
-          FROM classes c CROSS JOIN matrix GROUP BY c.label),
-        rates AS (
-          SELECT label, round(hits::DOUBLE / nullif(predicted, 0), 4) AS precision,
-                 round(hits::DOUBLE / nullif(actual, 0), 4) AS recall, actual::BIGINT AS support
-          FROM totals)
-        SELECT label, precision, recall,
-               round(2 * precision * recall / nullif(precision + recall, 0), 4) AS f1, support
-        FROM rates""",
-    "metrics_summary": f"""{_SUMMARY}, count(*) FILTER (is_correct) AS correct_predictions,
-        round(sum(token_count)::DOUBLE / count(*), 2) AS avg_tokens_per_document,
-        round(sum(score)::DOUBLE / count(*), 4) AS avg_score
-        FROM judged""",
+    "class_metrics": f"{_RATES} SELECT * FROM metrics",
+    "metrics_summary": _METRICS,
     "csv_documents": f"""WITH labeled AS ({_LABELED})
         SELECT row_number() OVER (ORDER BY doc_id) AS doc_id, label, text FROM labeled""",
     "json_documents": _LABELED,
@@ -208,4 +225,20 @@ ORACLES: dict[str, str] = {
     "top_words_csv": f"""{_PREPARED}, ranked AS ({_RANKED})
         SELECT row_number() OVER (ORDER BY frequency DESC, first_seen) AS rank, token, frequency
         FROM ranked""",
+    "corpus_report": f"""{_PREPARED}, ranked AS ({_RANKED}),
+        top AS (SELECT *, row_number() OVER (ORDER BY frequency DESC, first_seen) AS rank FROM ranked)
+        SELECT 'text' AS text_column, {_TOTALS},
+               (SELECT string_agg(token || ':' || frequency, ' ' ORDER BY rank)
+                FROM top WHERE rank <= 20) AS top_20_words
+        FROM prepared""",
+    "metrics_report": f"""{_RATES}
+        SELECT count(*) AS documents_count, {_ACCURACY},
+               round(sum(score)::DOUBLE / count(*), 4) AS avg_score, {_NESTED}
+        FROM judged""",
+    "scored_records": f"""{_JUDGED}
+        SELECT s.* EXCLUDE (lang, token_count), array_to_string(p.tokens, ' ') AS tokens_joined
+        FROM scored s JOIN prepared p ON s.doc_id = p.doc_id""",
+    "validated_records": _METRICS,
+    "json_column_documents": _LABELED,
+    "parquet_documents": _LABELED,
 }

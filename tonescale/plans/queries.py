@@ -13,6 +13,7 @@ from tonescale.operators import evaluation, numbering, reconcile, scoring, summa
 from tonescale.operators import vocabulary as words
 from tonescale.plans import inputs
 from tonescale.runtime import scratch_path
+from tonescale.schemas import CLASSES
 from tonescale.sinks import writers
 from tonescale.sources.documents import load_documents
 from tonescale.sources.records import load_predictions, load_token_records
@@ -315,6 +316,94 @@ def top_words_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbering.assign_doc_ids(read).withColumnRenamed("doc_id", "rank")
 
 
+def _read_back_json(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
+    """A summary written as JSON and read with its own schema."""
+    path = scratch_path(spark, name)
+    writers.write_summary(frame, path)
+    return spark.read.schema(frame.schema).json(path, mode="FAILFAST")
+
+
+def corpus_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written corpus summary; the top words as one text."""
+    prepared = _prepared(spark, sf_dir).select("doc_id", "tokens").persist()
+    report = words.corpus_report(prepared, f"{sf_dir}/documents.parquet")
+    read = _read_back_json(spark, report, "corpus-report")
+    prepared.unpersist()
+    listed = F.transform("top_20_words", lambda w: F.concat_ws(":", w["token"], w["frequency"]))
+    return read.select(
+        "text_column",
+        "documents_count",
+        "total_tokens",
+        "unique_tokens",
+        "avg_tokens_per_document",
+        F.array_join(listed, " ").alias("top_20_words"),
+    )
+
+
+def metrics_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written evaluation report, its nested parts as columns."""
+    read = _read_back_json(spark, evaluation.metrics_report(_counts(spark, sf_dir)), "metrics-report")
+    measures = ("precision", "recall", "f1", "support")
+    return read.select(
+        "documents_count",
+        "accuracy",
+        "avg_score",
+        *[
+            F.col("class_metrics")[name][measure].alias(f"{name}_{measure}")
+            for name in CLASSES
+            for measure in measures
+        ],
+        *[
+            F.col("confusion_matrix")[true][predicted].alias(f"{true}_as_{predicted}")
+            for true in CLASSES
+            for predicted in CLASSES
+        ],
+    )
+
+
+def scored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored documents with tokens, written as JSON lines and read back."""
+    scored = _prepared(spark, sf_dir).transform(
+        scoring.score_documents(inputs.test_lexicon(spark), fold=False)
+    )
+    path = scratch_path(spark, "scored")
+    writers.write_scored(scored.select(*SCORES, "tokens"), path)
+    read = load_predictions(spark, path, "jsonl")
+    return read.select(*SCORES, F.array_join("tokens", " ").alias("tokens_joined"))
+
+
+def validated_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validated predictions written as Parquet, read back and evaluated."""
+    path = scratch_path(spark, "validated")
+    writers.write_scored(validated_predictions(spark, sf_dir), path, "parquet")
+    validated = evaluation.validate_predictions(load_predictions(spark, path, "parquet"))
+    return evaluation.metrics_summary(evaluation.evaluation_counts(validated))
+
+
+def json_column_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files holding one object of equally long columns, at most 500 rows each."""
+    path = scratch_path(spark, "json-columns")
+    columns = ("doc_id", "label", "text")
+    # Columns of arrays must keep NULL labels, which collect_list would drop.
+    records = F.collect_list(F.struct(*columns))
+    grouped = (
+        _labeled_texts(spark, sf_dir)
+        .groupBy(F.floor(F.col("doc_id") / 500).alias("part"))
+        .agg(records.alias("records"))
+    )
+    arrays = F.struct(*[F.col(f"records.{name}").alias(name) for name in columns])
+    objects = grouped.select("part", F.to_json(arrays).alias("value"))
+    objects.write.partitionBy("part").text(path)
+    return load_documents(spark, path, "json")
+
+
+def parquet_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parquet documents whose text column is found by its name."""
+    path = scratch_path(spark, "parquet")
+    _labeled_texts(spark, sf_dir).withColumnRenamed("text", "Body").write.parquet(path)
+    return load_documents(spark, path, "parquet").select("doc_id", "label", "text")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -355,5 +444,11 @@ QUERIES: dict[str, Query] = {
         token_records,
         cleaned_dataset,
         top_words_csv,
+        corpus_report,
+        metrics_report,
+        scored_records,
+        validated_records,
+        json_column_documents,
+        parquet_documents,
     )
 }
