@@ -8,7 +8,7 @@ from tonescale.operators import documents as docs_ops
 from tonescale.operators import evaluation, numbering, scoring, summaries
 from tonescale.operators import vocabulary as words
 from tonescale.sinks import writers
-from tonescale.sources.records import load_predictions, load_token_records
+from tonescale.sources.records import load_partials, load_predictions, load_token_records
 
 
 def records(path):
@@ -67,10 +67,11 @@ def test_corpus_report(prepared, tmp_path):
 
 def test_scored_and_mapper_results(spark, scored, tmp_path):
     writers.write_scored(scored, str(tmp_path / "scored"))
-    writers.write_mapper_results(scored.withColumnRenamed("label", "true_label"), str(tmp_path / "mapped"))
+    writers.write_mapper_results(scored, str(tmp_path / "mapped"))
     first = {r["doc_id"]: r for r in records(tmp_path / "scored")}[9]
     assert first["label"] is None and first["positive_hits"] == 0
     mapped = {r["doc_id"]: r for r in records(tmp_path / "mapped")}
+    assert mapped[11]["true_label"] == "positive"
     assert set(mapped[9]) == {"doc_id", "tokens", "predicted_sentiment", "score"}
     back = load_predictions(spark, str(tmp_path / "mapped"), "jsonl")
     assert rows(back, "doc_id", "score") == rows(scored, "doc_id", "score")
@@ -87,7 +88,7 @@ def test_unknown_accuracy_is_null_or_left_out(scored, tmp_path):
 def test_partials_round_trip(spark, scored, tmp_path):
     partials = summaries.partial_summary(numbering.assign_chunks(scored, 4), "chunk_id")
     writers.write_partials(partials, str(tmp_path / "partials"))
-    back = spark.read.json(str(tmp_path / "partials"))
+    back = load_partials(spark, str(tmp_path / "partials"))
     assert summaries.merge_partials(back).first() == summaries.summarize(scored).first()
 
 

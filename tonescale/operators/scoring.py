@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonescale.functions.labels import score_to_label
+from tonescale.functions.labels import normalize_label, score_to_label
 from tonescale.functions.text import has_token, text_key, text_tokens
 from tonescale.operators.documents import fill_missing_text, first_copies, prepare_documents
 from tonescale.runtime import write_once
@@ -217,6 +217,7 @@ def score_documents(
 ) -> Callable[[DataFrame], DataFrame]:
     """Transform adding score, hit counts and ``predicted_sentiment``.
 
+    A ``label``, where there is one, is added normalized as ``true_label``.
     Use as ``docs.transform(score_documents(lexicon))`` on a frame with
     ``doc_id`` and ``tokens``.  The literal form is stateless and also takes
     streams; the join forms need unique ids and raise on repeated ones.
@@ -235,7 +236,10 @@ def score_documents(
         else:
             scorer = broadcast_scores if chosen == "broadcast" else shuffled_scores
             scored = docs.join(scorer(docs, lexicon, fold).drop("token_count"), "doc_id")
-        return scored.withColumn("predicted_sentiment", score_to_label(F.col("score")))
+        scored = scored.withColumn("predicted_sentiment", score_to_label(F.col("score")))
+        if "label" in docs.columns:
+            scored = scored.withColumn("true_label", normalize_label(F.col("label").cast("string")))
+        return scored
 
     return apply
 

@@ -16,7 +16,7 @@ from tonescale.runtime import scratch_path
 from tonescale.schemas import CLASSES
 from tonescale.sinks import writers
 from tonescale.sources.documents import load_documents
-from tonescale.sources.records import load_predictions, load_token_records
+from tonescale.sources.records import load_partials, load_predictions, load_token_records
 from tonescale.streaming.scoring import partials_writer, score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,7 +139,7 @@ def mapper_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     labeled = summaries.attach_labels(_prepared(spark, sf_dir), inputs.labels(spark, sf_dir))
     scored = labeled.transform(scoring.score_documents(inputs.test_lexicon(spark), fold=False))
     path = scratch_path(spark, "mapper-results")
-    writers.write_mapper_results(scored.withColumn("true_label", F.lower("label")), path)
+    writers.write_mapper_results(scored, path)
     read = load_predictions(spark, path, "jsonl")
     return read.select(
         "doc_id",
@@ -179,7 +179,7 @@ def chunk_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merged_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "chunk-partials")
     writers.write_partials(_chunk_partials(spark, sf_dir), path, "parquet")
-    return summaries.merge_partials(spark.read.parquet(path))
+    return summaries.merge_partials(load_partials(spark, path, "parquet"))
 
 
 def sentiment_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,7 +199,8 @@ def sentiment_by_role(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streamed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, copies included, scored as a stream of partial counts."""
     reader = spark.readStream.schema("doc_id bigint, text string")
-    stream = reader.option("pathGlobFilter", "documents*").parquet(sf_dir)
+    # A pattern, because a stream takes a plain path for a folder.
+    stream = reader.parquet(f"{sf_dir}/documents.parquet*")
     scored = score_stream(stream, inputs.test_lexicon(spark))
     out, checkpoint = scratch_path(spark, "partials"), scratch_path(spark, "stream-state")
     run = partials_writer(scored, out, checkpoint).trigger(availableNow=True).start()

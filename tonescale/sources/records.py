@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonescale.schemas import PREDICTION, TOKEN_RECORD
+from tonescale.schemas import CHUNK_PARTIAL, PREDICTION, TOKEN_RECORD
 
 
 def _read_records(spark: SparkSession, path: str, schema: str, fmt: str) -> DataFrame:
@@ -38,6 +38,11 @@ def load_token_records(spark: SparkSession, path: str, fmt: str = "json") -> Dat
     return _read_records(spark, path, TOKEN_RECORD, fmt)
 
 
+def load_partials(spark: SparkSession, path: str, fmt: str = "jsonl") -> DataFrame:
+    """Stored per-chunk counts."""
+    return _read_records(spark, path, CHUNK_PARTIAL, fmt)
+
+
 def load_predictions(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Predictions of any scoring stage; absent fields read as NULL."""
     return _read_records(spark, path, PREDICTION, fmt)
