@@ -122,6 +122,8 @@ def test_form_follows_the_size_of_the_lexicon(spark, monkeypatch):
     monkeypatch.setattr(scoring, "BROADCAST_BYTES", 1000)
     assert form_of(scoring.LITERAL_TERMS + 1) == "shuffled"
     large = scoring.lexicon_table(spark, {f"t{i}": 1 for i in range(scoring.LITERAL_TERMS + 1)})
+    assert scoring.choose_form(large, "literal")[0] == "literal"
+    monkeypatch.setattr(scoring, "LITERAL_TERMS_ON_REQUEST", scoring.LITERAL_TERMS)
     with pytest.raises(ValueError):
         scoring.choose_form(large, "literal")
     for form in ("broadcast", "fast"):

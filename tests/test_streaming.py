@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tonescale.operators import documents as docs_ops
 from tonescale.operators import scoring, summaries
+from tonescale.sources.records import load_partials
 from tonescale.streaming.scoring import partials_writer, score_stream
 
 COLUMNS = ("doc_id", "score", "positive_hits", "negative_hits", "predicted_sentiment", "tokens")
@@ -29,9 +30,9 @@ def test_partials_survive_restarts(spark, edge_documents, edge_lexicon, tmp_path
     stream = arriving(spark, edge_documents, tmp_path / "in", 4)
     out, state = str(tmp_path / "partials"), str(tmp_path / "state")
     for _ in range(2):
-        scored = score_stream(stream, edge_lexicon)
-        partials_writer(scored, out, state).trigger(availableNow=True).start().awaitTermination()
+        writer = partials_writer(stream, edge_lexicon, out, state)
+        writer.trigger(availableNow=True).start().awaitTermination()
     batch = docs_ops.clean_documents(edge_documents).transform(scoring.score_documents(edge_lexicon))
-    partials = spark.read.parquet(out)
+    partials = load_partials(spark, out, "parquet")
     assert partials.agg(F.sum("documents")).first()[0] == 11
     assert summaries.merge_partials(partials).first() == summaries.summarize(batch).first()

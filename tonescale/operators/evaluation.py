@@ -30,12 +30,12 @@ def validate_predictions(predictions: DataFrame) -> DataFrame:
     columns = predictions.columns
     predicted = _first_class(predictions, "predicted_sentiment", "predicted")
     true = _first_class(predictions, "true_label", "label")
-    if "tokens" in columns:
-        size = F.size("tokens").cast("bigint")
-    elif "token_count" in columns:
-        size = F.col("token_count").cast("bigint")
-    else:
-        size = F.lit(None).cast("bigint")
+    sizes = {
+        "tokens": F.when(F.col("tokens").isNotNull(), F.size("tokens")).cast("bigint"),
+        "token_count": F.col("token_count").cast("bigint"),
+    }
+    known = [size for name, size in sizes.items() if name in columns]
+    size = F.coalesce(*known, F.lit(None).cast("bigint"))
     return predictions.select(
         "doc_id",
         predicted.alias("predicted_sentiment"),

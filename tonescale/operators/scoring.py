@@ -26,6 +26,8 @@ from tonescale.schemas import LEXICON
 # Above this many terms the per-weight hit counts of the literal form cost
 # more than the join (measured in README, "Choosing the scoring form").
 LITERAL_TERMS = 128
+# The literal form on request (a stream has no other) takes more, at that cost.
+LITERAL_TERMS_ON_REQUEST = 10_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Rough cost of one term in a broadcast hash table besides its characters.
 TERM_OVERHEAD = 64
@@ -69,11 +71,12 @@ def lexicon_size(lexicon: DataFrame) -> int:
 def choose_form(lexicon: DataFrame, form: str = "auto") -> tuple[str, dict[str, int] | None]:
     """The form to use and, for the literal one, the lexicon as a mapping."""
     if form in ("auto", "literal"):
-        weights = small_lexicon(lexicon)
+        limit = LITERAL_TERMS if form == "auto" else LITERAL_TERMS_ON_REQUEST
+        weights = small_lexicon(lexicon, limit)
         if weights is not None:
             return "literal", weights
         if form == "literal":
-            raise ValueError(f"the literal form takes at most {LITERAL_TERMS} terms")
+            raise ValueError(f"the literal form takes at most {limit} terms")
         return ("broadcast" if lexicon_bytes(lexicon) <= BROADCAST_BYTES else "shuffled"), None
     if form not in ("broadcast", "shuffled"):
         raise ValueError(f"unknown scoring form: {form}")

@@ -12,16 +12,18 @@ from tonescale.operators import documents as docs_ops
 from tonescale.operators import evaluation, numbering, reconcile, scoring, summaries
 from tonescale.operators import vocabulary as words
 from tonescale.plans import inputs
-from tonescale.runtime import scratch_path
+from tonescale.runtime import scratch_path, write_once
 from tonescale.schemas import CLASSES
 from tonescale.sinks import writers
 from tonescale.sources.documents import load_documents
 from tonescale.sources.records import load_partials, load_predictions, load_token_records
-from tonescale.streaming.scoring import partials_writer, score_stream
+from tonescale.streaming.scoring import partials_writer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 CHUNK_SIZE = 100
+# A JSON list or object is read by one task, in memory.
+JSON_FILE_BYTES = 32 * 1024 * 1024
 SCORES = ("doc_id", "score", "positive_hits", "negative_hits", "predicted_sentiment")
 COUNTS = ("documents", "positive", "negative", "neutral")
 
@@ -129,7 +131,7 @@ def scored_documents_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored_documents_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The form for lexicons beyond broadcasting, with a corpus-sized lexicon."""
-    lexicon = inputs.vocabulary_lexicon(_prepared(spark, sf_dir))
+    lexicon = write_once(inputs.vocabulary_lexicon(_prepared(spark, sf_dir)), "lexicon")
     scored = scoring.score_corpus(inputs.documents(spark, sf_dir), lexicon, form="shuffled")
     return scored.select(*SCORES)
 
@@ -201,11 +203,10 @@ def streamed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     reader = spark.readStream.schema("doc_id bigint, text string")
     # A pattern, because a stream takes a plain path for a folder.
     stream = reader.parquet(f"{sf_dir}/documents.parquet*")
-    scored = score_stream(stream, inputs.test_lexicon(spark))
-    out, checkpoint = scratch_path(spark, "partials"), scratch_path(spark, "stream-state")
-    run = partials_writer(scored, out, checkpoint).trigger(availableNow=True).start()
-    run.awaitTermination()
-    return summaries.merge_partials(spark.read.parquet(out))
+    out, state = scratch_path(spark, "partials"), scratch_path(spark, "stream-state")
+    writer = partials_writer(stream, inputs.test_lexicon(spark), out, state)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return summaries.merge_partials(load_partials(spark, out, "parquet"))
 
 
 # --- comparison and evaluation ------------------------------------------------
@@ -255,20 +256,42 @@ def csv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbering.assign_doc_ids(load_documents(spark, path, "csv"))
 
 
+def _json_parts(labeled: DataFrame) -> DataFrame:
+    """Documents with a file number, so that no JSON file gets much larger than the bound.
+
+    Ids are unique, so their hashes fill the files evenly.
+    """
+    size = labeled.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = F.lit(size // JSON_FILE_BYTES + 1)
+    return labeled.withColumn("part", F.pmod(F.xxhash64("doc_id"), files))
+
+
 def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files holding a JSON list of at most 500 records each."""
+    """Files holding a JSON list of records each."""
     path = scratch_path(spark, "json")
-    record = F.struct("doc_id", "label", "text")
-    lists = (
-        _labeled_texts(spark, sf_dir)
-        .groupBy(F.floor(F.col("doc_id") / 500).alias("part"))
-        .agg(F.to_json(F.collect_list(record)).alias("value"))
-    )
+    records = F.collect_list(F.struct("doc_id", "label", "text"))
+    lists = _json_parts(_labeled_texts(spark, sf_dir)).groupBy("part").agg(F.to_json(records).alias("value"))
     lists.write.partitionBy("part").text(path)
     schema = "doc_id bigint, label string, text string"
     return load_documents(spark, path, "json", schema=schema).select("doc_id", "label", "text")
 
 
+def json_column_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files holding one object of equally long columns each."""
+    path = scratch_path(spark, "json-columns")
+    columns = ("doc_id", "label", "text")
+    # Lists of structs keep the NULL labels that lists of labels would drop.
+    grouped = (
+        _json_parts(_labeled_texts(spark, sf_dir))
+        .groupBy("part")
+        .agg(F.collect_list(F.struct(*columns)).alias("records"))
+    )
+    arrays = F.struct(*[F.col(f"records.{name}").alias(name) for name in columns])
+    objects = grouped.select("part", F.to_json(arrays).alias("value"))
+    objects.write.partitionBy("part").text(path)
+    return load_documents(spark, path, "json")
+
+
 def jsonl_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "jsonl")
     writers.write_scored(_labeled_texts(spark, sf_dir), path)
@@ -381,23 +404,6 @@ def validated_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.metrics_summary(evaluation.evaluation_counts(validated))
 
 
-def json_column_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files holding one object of equally long columns, at most 500 rows each."""
-    path = scratch_path(spark, "json-columns")
-    columns = ("doc_id", "label", "text")
-    # Columns of arrays must keep NULL labels, which collect_list would drop.
-    records = F.collect_list(F.struct(*columns))
-    grouped = (
-        _labeled_texts(spark, sf_dir)
-        .groupBy(F.floor(F.col("doc_id") / 500).alias("part"))
-        .agg(records.alias("records"))
-    )
-    arrays = F.struct(*[F.col(f"records.{name}").alias(name) for name in columns])
-    objects = grouped.select("part", F.to_json(arrays).alias("value"))
-    objects.write.partitionBy("part").text(path)
-    return load_documents(spark, path, "json")
-
-
 def parquet_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parquet documents whose text column is found by its name."""
     path = scratch_path(spark, "parquet")

@@ -17,6 +17,8 @@ SESSION_CONF = {
     # Shuffled joins whose partitions all turn out small are hashed, not sorted.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
+    # Call sites of column expressions: many small calls per query, for error texts only.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -14,11 +14,11 @@ TOKEN_RECORD = (
 LEXICON = "token string, weight bigint"
 
 # Predictions as written by any scoring stage: columns that a stage leaves out
-# (hit counts, labels) read as NULL.
+# (hit counts, token counts, labels) read as NULL.
 PREDICTION = (
     "doc_id bigint, tokens array<string>, score bigint, positive_hits bigint, "
     "negative_hits bigint, predicted_sentiment string, predicted string, "
-    "true_label string, label string"
+    "token_count bigint, true_label string, label string"
 )
 
 CHUNK_PARTIAL = (

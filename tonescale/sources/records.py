@@ -12,7 +12,7 @@ from tonescale.schemas import CHUNK_PARTIAL, PREDICTION, TOKEN_RECORD
 def _read_records(spark: SparkSession, path: str, schema: str, fmt: str) -> DataFrame:
     try:
         if fmt == "parquet":
-            return spark.read.parquet(path)
+            return spark.read.schema(schema).parquet(path)
         if fmt == "jsonl":
             return spark.read.schema(schema).json(path, mode="FAILFAST")
         if fmt == "json":

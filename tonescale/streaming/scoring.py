@@ -21,15 +21,18 @@ def score_stream(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
     return clean_documents(docs).transform(score_documents(lexicon, form="literal", fold=False))
 
 
-def partials_writer(scored: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Store one partial summary per micro-batch below ``path``.
+def partials_writer(docs: DataFrame, lexicon: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Score a stream and store one partial summary per micro-batch below ``path``.
 
-    A replayed batch overwrites its own folder, so a restart counts nothing
-    twice.  Read the result with ``spark.read.parquet(path)``.
+    A micro-batch is a bounded table, so the lexicon may be of any size.  A
+    replayed batch overwrites its own folder, so a restart counts nothing
+    twice.  Read the result with ``load_partials(spark, path, "parquet")``.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        counts = partial_summary(batch.withColumn("chunk_id", F.lit(batch_id).cast("bigint")), "chunk_id")
-        counts.drop("chunk_id").write.mode("overwrite").parquet(f"{path}/chunk_id={batch_id}")
+        scored = clean_documents(batch).transform(score_documents(lexicon, fold=False))
+        chunk = scored.withColumn("chunk_id", F.lit(batch_id).cast("bigint"))
+        counts = partial_summary(chunk, "chunk_id").drop("chunk_id")
+        counts.write.mode("overwrite").parquet(f"{path}/chunk_id={batch_id}")
 
-    return scored.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return docs.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
