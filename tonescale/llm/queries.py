@@ -7,7 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tonescale.llm.bpe import encode_decode
+from tonescale.llm.pii import BASE as PII_KINDS
+from tonescale.llm.pii import find_pii
+from tonescale.llm.quality_rules import COUNTS, host_rules
+from tonescale.llm.secrets import BASE as SECRET_KINDS
+from tonescale.llm.secrets import find_secrets
+from tonescale.llm.spans import digest_columns
 from tonescale.llm.token_counts import count_tokens
+from tonescale.llm.url_filters import url_verdicts
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -20,6 +28,33 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_columns(find_secrets(table(spark, sf_dir, "documents")), SECRET_KINDS)
+
+
+def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_columns(find_pii(table(spark, sf_dir, "documents")), PII_KINDS)
+
+
+def host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = host_rules(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *COUNTS, "base_failed", "kept")
+
+
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_verdicts(table(spark, sf_dir, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "words")
+
+
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), digests=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts,
+    "op4_secrets": secrets,
+    "op5_pii": pii,
+    "op6_host_rules": host_quality,
+    "op7_bpe_round_trip": bpe_round_trip,
+    "op9_url_filters": url_filter,
 }
