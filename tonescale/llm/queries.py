@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tonescale.llm.bpe import encode_decode
+from tonescale.llm.jaccard_join import jaccard_components
 from tonescale.llm.pii import BASE as PII_KINDS
 from tonescale.llm.pii import find_pii
 from tonescale.llm.quality_rules import COUNTS, host_rules
@@ -50,6 +51,10 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), digests=True)
 
 
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts,
     "op4_secrets": secrets,
@@ -57,4 +62,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_host_rules": host_quality,
     "op7_bpe_round_trip": bpe_round_trip,
     "op9_url_filters": url_filter,
+    "op10_jaccard_join": jaccard_join,
 }
