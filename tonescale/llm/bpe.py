@@ -8,8 +8,8 @@ keeps the table small; pre-tokens inside a word are the encoder's matter.)
 1. Texts are packed and dealt once over groups of bounded size.
 2. Each group gives its distinct words; one row per word of the whole corpus
    lists the groups that hold it.
-3. Each word is encoded once.  Its ids meet their pieces in a join with the
-   id-to-piece table, whose size is the vocabulary's.
+3. Each word is encoded once, and its ids are joined with the id-to-piece table,
+   whose size is the vocabulary's.
 4. The words go back to their groups, and each text takes the ids and pieces
    of its words by position.
 """
@@ -26,9 +26,8 @@ from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonescale.llm.batches import pairs, texts_of
@@ -52,14 +51,13 @@ def encoder(path: str):
     return tokenizer
 
 
-def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """The id-to-piece table of a byte-level vocabulary, one row per id."""
+def pieces(path: str) -> dict[int, bytes]:
+    """The id-to-piece table of a byte-level vocabulary."""
     spec = json.loads(Path(path).read_text(encoding="utf-8"))
     letters = byte_letters()
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-    rows = [(i, bytes(letters[c] for c in t)) for t, i in spec["model"]["vocab"].items() if t not in special]
-    rows += [(i, t.encode()) for t, i in special.items()]
-    return spark.createDataFrame(rows, "id int, piece binary")
+    table = {i: bytes(letters[c] for c in t) for t, i in spec["model"]["vocab"].items() if t not in special}
+    return table | {i: t.encode() for t, i in special.items()}
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,7 +78,7 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for part, _, _, packed in pairs(batch):
-            found[part].update(WORD.findall(zlib.decompress(packed).decode()))
+            found[part].update(set(WORD.findall(zlib.decompress(packed).decode())))
         if sum(map(len, found.values())) > 4 * WORDS_PER_ROW * 2:
             yield from rows()
     yield from rows()
@@ -96,9 +94,8 @@ def _bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     size = 0
     for batch in batches:
-        for parts, word, ids, piece in pairs(batch):
-            decoded = piece.decode("utf-8", "surrogateescape")
-            entry = word, ",".join(map(str, ids)), None if decoded == word else decoded
+        for parts, word, ids, decoded in zip(*(c.to_pylist() for c in batch.columns)):
+            entry = word, ids, decoded
             size += len(parts)
             for part in parts:
                 held[part].append(entry)
@@ -127,20 +124,19 @@ def _texts(texts: pa.Table, words: pa.Table) -> Iterator[tuple]:
         own = WORD.findall(zlib.decompress(packed).decode())
         joined = ",".join([ids[w] for w in own])
         decoded = "".join([odd.get(w, w) for w in own] if odd else own)
-        raw = decoded.encode("utf-8", "surrogateescape")
-        yield text_id, doc_id, joined.count(",") + 1 if joined else 0, joined, raw
+        yield text_id, doc_id, joined.count(",") + 1 if joined else 0, joined, decoded
 
 
 def _encoded(texts: pa.Table, words: pa.Table) -> pa.Table:
-    rows = [(d, t, n, ids, raw.decode("utf-8", "replace")) for t, d, n, ids, raw in _texts(texts, words)]
+    rows = [(d, t, n, ids, decoded) for t, d, n, ids, decoded in _texts(texts, words)]
     return _table(rows, ("doc_id", "text_id", "n_tokens", "ids", "decoded"), 3)
 
 
 def _digests(texts: pa.Table, words: pa.Table) -> pa.Table:
     sha = lambda data: hashlib.sha256(data).hexdigest()
     rows = [
-        (d, n, sha(ids.encode()), sha(raw.decode("utf-8", "replace").encode()))
-        for _, d, n, ids, raw in _texts(texts, words)
+        (d, n, sha(ids.encode()), sha(decoded.encode()))
+        for _, d, n, ids, decoded in _texts(texts, words)
     ]
     return _table(rows, ("doc_id", "n_tokens", "ids_sha256", "decoded_sha256"), 2)
 
@@ -152,22 +148,32 @@ def _table(rows: list[tuple], names: tuple[str, ...], numbers: int) -> pa.Table:
 
 
 def word_table(packed: DataFrame, tokenizer: str) -> DataFrame:
-    """Every distinct word once: word, parts (the groups that hold it), ids and piece."""
-
-    @F.pandas_udf("array<int>")
-    def encode(words: pd.Series) -> pd.Series:
-        found = encoder(tokenizer).encode_batch(words.tolist(), add_special_tokens=False)
-        return pd.Series([e.ids for e in found])
+    """Every distinct word once: parts (the groups that hold it), word, ids, decoded.
 
+    Ids are decimal, joined by commas.  The id-to-piece table has the size of
+    the vocabulary and is broadcast, so each id meets its piece where the word
+    was encoded.  ``decoded`` is missing where it equals the word.
+    """
     spark = packed.sparkSession
+    shared = spark.sparkContext.broadcast(pieces(tokenizer))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece = shared.value.__getitem__
+        for batch in batches:
+            words = batch.column("word").to_pylist()
+            found = [e.ids for e in encoder(tokenizer).encode_batch_fast(words, add_special_tokens=False)]
+            decoded = [b"".join(map(piece, ids)).decode("utf-8", "replace") for ids in found]
+            columns = [
+                batch.column("parts"),
+                batch.column("word"),
+                pa.array([",".join(map(str, ids)) for ids in found], pa.string()),
+                pa.array([None if d == w else d for d, w in zip(decoded, words)], pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["parts", "word", "ids", "decoded"])
+
     words = packed.mapInArrow(_words, "part int, word string")
-    distinct = words.groupBy("word").agg(F.collect_set("part").alias("parts")).withColumn("ids", encode("word"))
-    by_id = distinct.select("word", "parts", F.posexplode("ids").alias("at", "id"))
-    met = by_id.join(F.broadcast(pieces(spark, tokenizer)), "id")
-    entry = F.sort_array(F.collect_list(F.struct("at", "id", "piece")))
-    by_word = met.groupBy("word").agg(F.first("parts").alias("parts"), entry.alias("found"))
-    piece = F.aggregate("found.piece", F.lit(b""), lambda a, b: F.concat(a, b))
-    return by_word.select("parts", "word", F.col("found.id").alias("ids"), piece.alias("piece"))
+    distinct = words.groupBy("word").agg(F.collect_set("part").alias("parts")).select("parts", "word")
+    return distinct.mapInArrow(encode, "parts array<int>, word string, ids string, decoded string")
 
 
 def encode_decode(docs: DataFrame, tokenizer: str, digests: bool = False, group_bytes: int = GROUP_BYTES) -> DataFrame:
