@@ -77,3 +77,15 @@ def test_long_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, 999), (5, 5)], "a bigint, b bigint")
     found = {r.node: r.label for r in connected(links).collect()}
     assert found == {**{i: 0 for i in range(201)}, 999: 999, 1000: 999}
+
+
+def test_partners_equal_all_pairs():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for size in (1, 2, 3, 17, 60):
+        for _ in range(40):
+            n = rng.integers(1, 60, size)
+            spots = (n << 31) | rng.integers(0, n // 5 + 1)
+            pairs = jaccard_join.possible(spots[:, None], spots[None, :]) & ~np.eye(size, dtype=bool)
+            assert (jaccard_join.has_partner(spots) == pairs.any(axis=1)).all()

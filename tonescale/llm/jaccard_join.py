@@ -10,7 +10,8 @@ their first n - ceil(0.8 n) + 1.  The order puts shingles of many documents last
 2. Documents with equal sets form a class, classes with equal prefix and size a
    group.  Only groups are joined: by prefix shingle, filtered by size and by the
    overlap that their positions leave possible.
-3. Groups expand to their classes and pairs are verified on whole sets.  Large
+3. Groups expand to their classes.  Counts of shingles by part of their range bound
+   a pair's overlap; what passes is verified on whole sets.  Large
    buckets first link to their best member alone; what these links leave in
    different components is then compared in blocks.  Nothing is skipped but
    pairs already connected.
@@ -152,12 +153,12 @@ def prefix(shingles: np.ndarray, known: Frequencies) -> tuple[np.ndarray, np.nda
 
 
 def described(texts: DataFrame, known: Frequencies) -> DataFrame:
-    """doc_id, n, class_id, group_id, prefix and places of every document."""
+    """doc_id, n, class_id, group_id, prefix, places and sketch of every document."""
     shared = texts.sparkSession.sparkContext.broadcast(known)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, classes, groups, firsts, places = [], [], [], [], []
+            sizes, classes, groups, firsts, places, sketches = [], [], [], [], [], []
             for text in batch.column("text"):
                 shingles = shingle_set(text.as_py())
                 own, place = prefix(shingles, shared.value) if len(shingles) else (shingles, np.empty(0, np.int64))
@@ -165,12 +166,14 @@ def described(texts: DataFrame, known: Frequencies) -> DataFrame:
                 classes.append(digest(shingles.tobytes()))
                 firsts.append(own.tobytes())
                 places.append(place.astype(np.uint32).tobytes())
+                sketches.append(sketch(shingles) if len(own) else b"")
                 groups.append(digest(len(shingles).to_bytes(8) + firsts[-1] + places[-1]))
             signed = [longs(np.array(c, np.uint64)) for c in (classes, groups)]
-            blobs = [pa.array(c, pa.binary()) for c in (firsts, places)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, I64), *signed, *blobs], names=["doc_id", "n", "class_id", "group_id", "prefix", "places"])
+            blobs = [pa.array(c, pa.binary()) for c in (firsts, places, sketches)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, I64), *signed, *blobs], names=names)
 
-    return texts.mapInArrow(describe, "doc_id bigint, n bigint, class_id bigint, group_id bigint, prefix binary, places binary")
+    names = ["doc_id", "n", "class_id", "group_id", "prefix", "places", "sketch"]
+    return texts.mapInArrow(describe, "doc_id bigint, n bigint, class_id bigint, group_id bigint, prefix binary, places binary, sketch binary")
 
 
 def prefix_rows(groups: DataFrame) -> DataFrame:
@@ -199,6 +202,38 @@ def possible(spot_a: np.ndarray, spot_b: np.ndarray) -> np.ndarray:
     return (5 * np.minimum(size_a, size_b) >= 4 * np.maximum(size_a, size_b)) & (9 * overlap >= 4 * (size_a + size_b))
 
 
+def has_partner(spots: np.ndarray) -> np.ndarray:
+    """Which members of a bucket have another that is possible.
+
+    A member of size n and place p allows partners up to (9 (n - p) - 4 n) / 4.
+    Sorted by size, the partners that it allows are a range, and one of them must
+    allow its size; the largest allowed size in a range comes from a table of
+    maxima over powers of two.
+    """
+    order = np.argsort(spots >> 31, kind="stable")
+    sizes = (spots >> 31)[order]
+    most = (9 * (sizes - (spots[order] & ((1 << 31) - 1))) - 4 * sizes) // 4
+    low = np.searchsorted(sizes, (4 * sizes + 4) // 5)
+    high = np.searchsorted(sizes, np.minimum(5 * sizes // 4, most), side="right")
+    table = [most]
+    while (step := 1 << (len(table) - 1)) * 2 <= len(most):
+        table.append(np.maximum(table[-1][:-step], table[-1][step:]))
+
+    def largest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.full(len(a), -1, np.int64)
+        level = np.floor(np.log2(np.maximum(b - a, 1))).astype(int)
+        for k, maxima in enumerate(table):
+            at = np.flatnonzero((level == k) & (b > a))
+            out[at] = np.maximum(maxima[a[at]], maxima[b[at] - (1 << k)])
+        return out
+
+    own = np.arange(len(sizes))
+    best = np.maximum(largest(low, np.minimum(high, own)), largest(np.maximum(low, own + 1), high))
+    found = np.empty(len(sizes), bool)
+    found[order] = best >= sizes
+    return found
+
+
 def _whole(batches: Iterator[pa.RecordBatch], columns: int) -> list[np.ndarray]:
     """A partition's columns of numbers."""
     held = [[c.to_numpy() for c in batch.columns] for batch in batches]
@@ -231,7 +266,8 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = np.arange(start + 1, start + size)
         first += [np.full(size - 1, start), rest[:-1]]
         second += [rest, rest[1:]]
-        yield _found(1, *(c[start : start + size] for c in (tokens, groups, spots)))
+        kept = start + np.flatnonzero(has_partner(spots[start : start + size]))
+        yield _found(1, tokens[kept], groups[kept], spots[kept])
     i, j = np.concatenate(first), np.concatenate(second)
     fits = possible(spots[i], spots[j])
     a, b = _unique_pairs(groups[i[fits]], groups[j[fits]])
@@ -260,6 +296,40 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
+# ---- sketches ------------------------------------------------------------------------------
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """How many shingles fall in each of equal parts of the numbers, about four to eight a part."""
+    bits = max(3, (len(shingles) // 4).bit_length() - 1)
+    return np.minimum(np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def may_link(one: bytes, size_a: int, two: bytes, size_b: int) -> bool:
+    """Whether the parts, none with more in common than its smaller count, allow a similarity of 0.8."""
+    a, b = np.frombuffer(one, np.uint8), np.frombuffer(two, np.uint8)
+    if a.max() == 255 or b.max() == 255:
+        return True
+    parts = min(len(a), len(b))
+    a, b = (x.reshape(parts, -1).sum(axis=1, dtype=np.int64) for x in (a, b))
+    return bool(9 * np.minimum(a, b).sum() >= 4 * (size_a + size_b))
+
+
+def sketched(candidates: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches of the classes allow."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [may_link(*row) for row in rows_of(batch.select(["sketch_a", "n_a", "sketch_b", "n_b"]))]
+            kept = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"])
+            yield kept.filter(pa.array(keep, pa.bool_()))
+
+    one = classes.select(F.col("class_id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
+    two = classes.select(F.col("class_id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    both = candidates.join(two, "b").join(one, "a").filter("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
+    return both.select("a", "b", "n_a", "sketch_a", "n_b", "sketch_b").mapInArrow(check, "a bigint, b bigint")
+
+
 # ---- verification --------------------------------------------------------------------------
 
 
@@ -373,7 +443,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     texts = texts_of(docs)
     rows = write_once(described(texts, frequencies(texts)), "prefixes")
     filled = rows.filter("n > 0")
-    members = write_once(filled.groupBy("class_id", "group_id").agg(F.min("doc_id").alias("least")), "classes")
+    classes = filled.groupBy("class_id", "group_id").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"), F.first("sketch").alias("sketch"))
+    classes = write_once(classes, "classes")
+    members = classes.filter("length(sketch) > 0").select("class_id", "group_id")  # without a repeated shingle in its prefix, a set has no partner
     groups = filled.filter("length(prefix) > 0").groupBy("group_id", "n").agg(F.first("prefix").alias("prefix"), F.first("places").alias("places"))
     found = write_once(prefix_rows(groups).repartition("token").mapInArrow(_buckets, "kind int, a bigint, b bigint, spot bigint"), "buckets")
 
@@ -382,18 +454,18 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     two = first.select(F.col("group_id").alias("b"), F.col("first").alias("y"))
     between = found.filter("kind = 0").select("a", "b").distinct().join(one, "a").join(two, "b").select(*ordered(F.col("x"), F.col("y")))
     inside = members.join(first.filter("k > 1"), "group_id").filter("class_id != first").select(*ordered(F.col("first"), F.col("class_id")))
-    candidates = write_once(between.union(inside).distinct(), "candidates")
+    candidates = write_once(sketched(between.union(inside).distinct(), classes), "candidates")
 
-    pair_groups = found.filter("kind = 0").select(F.explode(F.array("a", "b")).alias("group_id")).union(found.filter("kind = 1").select(F.col("b").alias("group_id")))
-    several = first.filter("k > 1").select("group_id")
-    needed = members.join(pair_groups.union(several).distinct(), "group_id", "left_semi").select("class_id")
+    several = found.filter("kind = 1").select(F.col("b").alias("group_id")).union(first.filter("k > 1").select("group_id"))
+    later = members.join(several.distinct(), "group_id", "left_semi").select("class_id")
+    needed = candidates.select(F.explode(F.array("a", "b")).alias("class_id")).union(later).distinct()
     sets = write_once(sets_of(texts, write_once(needed, "needed")), "sets")
     links = write_once(verified(candidates, sets), "first-links")
     labels = connected(links)
-    more = write_once(second_round(found, members, labels, candidates), "second-candidates")
+    more = write_once(sketched(second_round(found, members, labels, candidates), classes), "second-candidates")
     if not more.isEmpty():
         labels = connected(links.union(verified(more, sets)))
-    labeled = members.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left")
+    labeled = classes.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left")
     labeled = labeled.select("class_id", "least", F.coalesce("label", "class_id").alias("label"))
     least = labeled.groupBy("label").agg(F.min("least").alias("component_id"))
     by_class = labeled.join(least, "label").select("class_id", "component_id")
