@@ -6,8 +6,8 @@ so a text's ids are its words' ids in order.  (Splitting only at white space
 keeps the table small; pre-tokens inside a word are the encoder's matter.)
 
 1. Texts are packed and dealt once over groups of bounded size.
-2. Each group gives its distinct words; one row per word of the whole corpus
-   lists the groups that hold it.
+2. Each group gives its distinct words, sorted and packed by hash bucket; a bucket
+   has each word of the whole corpus once, with the groups that hold it.
 3. Each word is encoded once, and its ids are joined with the id-to-piece table,
    whose size is the vocabulary's.
 4. The words go back to their groups, and each text takes the ids and pieces
@@ -34,7 +34,7 @@ from tonescale.llm.batches import pairs, texts_of
 from tonescale.llm.token_counts import WHITE, byte_letters
 
 GROUP_BYTES = 32 << 20
-WORDS_PER_ROW = 100_000
+MOST_WORDS, WORDS_AT_ONCE = 1_000_000, 10_000
 WORD = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
 ENCODED = "doc_id bigint, text_id bigint, n_tokens bigint, ids string, decoded string"
@@ -62,49 +62,39 @@ def pieces(path: str) -> dict[int, bytes]:
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [zlib.compress(text.as_py().encode(), 3) for text in batch.column("text")]
+        texts = [zlib.compress(text.as_py().encode(), 6) for text in batch.column("text")]
         columns = [batch.column(n) for n in ("part", "text_id", "doc_id")]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary())], names=["part", "text_id", "doc_id", "packed"])
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found: dict[int, set[str]] = defaultdict(set)
+def _squeeze(value) -> bytes:
+    return zlib.compress(json.dumps(value, ensure_ascii=False).encode(), 6)
 
-    def rows() -> Iterator[pa.RecordBatch]:
-        for part, words in found.items():
-            names = pa.array(words, pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array([part] * len(words), pa.int32()), names], names=["part", "word"])
-        found.clear()
 
-    for batch in batches:
-        for part, _, _, packed in pairs(batch):
-            found[part].update(set(WORD.findall(zlib.decompress(packed).decode())))
-        if sum(map(len, found.values())) > 4 * WORDS_PER_ROW * 2:
-            yield from rows()
-    yield from rows()
+def _words(buckets: int):
+    """Distinct words of each group, sorted and packed by hash bucket."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, set[str]] = defaultdict(set)
 
-def _bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Encoded words by group, many in a row."""
-    held: dict[int, list[tuple]] = defaultdict(list)
+        def rows() -> Iterator[pa.RecordBatch]:
+            for part, words in found.items():
+                by_bucket: dict[int, list[str]] = defaultdict(list)
+                for word in sorted(words):
+                    by_bucket[zlib.crc32(word.encode()) % buckets].append(word)
+                packed = pa.array([_squeeze(w) for w in by_bucket.values()], pa.binary())
+                parts = pa.array([part] * len(by_bucket), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(by_bucket, pa.int32()), parts, packed], names=["bucket", "part", "packed"])
+            found.clear()
 
-    def row(part: int) -> pa.RecordBatch:
-        packed = zlib.compress(json.dumps(list(zip(*held.pop(part)))).encode(), 3)
-        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([packed], pa.binary())], names=["part", "packed"])
+        for batch in batches:
+            for part, _, _, packed in pairs(batch):
+                found[part].update(set(WORD.findall(zlib.decompress(packed).decode())))
+            if sum(map(len, found.values())) > MOST_WORDS:
+                yield from rows()
+        yield from rows()
 
-    size = 0
-    for batch in batches:
-        for parts, word, ids, decoded in zip(*(c.to_pylist() for c in batch.columns)):
-            entry = word, ids, decoded
-            size += len(parts)
-            for part in parts:
-                held[part].append(entry)
-        if size > 8 * WORDS_PER_ROW:
-            for part in list(held):
-                yield row(part)
-            size = 0
-    for part in list(held):
-        yield row(part)
+    return run
 
 
 def _joined(words: pa.Table) -> tuple[dict[str, str], dict[str, str]]:
@@ -147,33 +137,35 @@ def _table(rows: list[tuple], names: tuple[str, ...], numbers: int) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=list(names))
 
 
-def word_table(packed: DataFrame, tokenizer: str) -> DataFrame:
-    """Every distinct word once: parts (the groups that hold it), word, ids, decoded.
+def word_table(packed: DataFrame, tokenizer: str, buckets: int) -> DataFrame:
+    """part, packed: the words of each group with ids and decoded words, each distinct word encoded once.
 
     Ids are decimal, joined by commas.  The id-to-piece table has the size of
     the vocabulary and is broadcast, so each id meets its piece where the word
-    was encoded.  ``decoded`` is missing where it equals the word.
+    was encoded.  A decoded word is missing where it equals the word.
     """
-    spark = packed.sparkSession
-    shared = spark.sparkContext.broadcast(pieces(tokenizer))
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = shared.value.__getitem__
-        for batch in batches:
-            words = batch.column("word").to_pylist()
-            found = [e.ids for e in encoder(tokenizer).encode_batch_fast(words, add_special_tokens=False)]
-            decoded = [b"".join(map(piece, ids)).decode("utf-8", "replace") for ids in found]
-            columns = [
-                batch.column("parts"),
-                batch.column("word"),
-                pa.array([",".join(map(str, ids)) for ids in found], pa.string()),
-                pa.array([None if d == w else d for d, w in zip(decoded, words)], pa.string()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["parts", "word", "ids", "decoded"])
-
-    words = packed.mapInArrow(_words, "part int, word string")
-    distinct = words.groupBy("word").agg(F.collect_set("part").alias("parts")).select("parts", "word")
-    return distinct.mapInArrow(encode, "parts array<int>, word string, ids string, decoded string")
+    shared = packed.sparkSession.sparkContext.broadcast(pieces(tokenizer))
+
+    def encode(table: pa.Table) -> pa.Table:
+        holders: dict[str, list[int]] = defaultdict(list)
+        for part, words in pairs(table.select(["part", "packed"])):
+            for word in json.loads(zlib.decompress(words)):
+                if not (own := holders[word]) or own[-1] != part:
+                    own.append(part)
+        by_part: dict[int, list[tuple]] = defaultdict(list)
+        piece, distinct = shared.value.__getitem__, sorted(holders)
+        for start in range(0, len(distinct), WORDS_AT_ONCE):
+            words = distinct[start : start + WORDS_AT_ONCE]
+            for word, found in zip(words, encoder(tokenizer).encode_batch_fast(words, add_special_tokens=False)):
+                decoded = b"".join(map(piece, found.ids)).decode("utf-8", "replace")
+                entry = word, ",".join(map(str, found.ids)), None if decoded == word else decoded
+                for part in holders[word]:
+                    by_part[part].append(entry)
+        bundles = pa.array([_squeeze(list(zip(*entries))) for entries in by_part.values()], pa.binary())
+        return pa.table([pa.array(by_part, pa.int32()), bundles], names=["part", "packed"])
+
+    words = packed.mapInArrow(_words(buckets), "bucket int, part int, packed binary")
+    return words.groupBy("bucket").applyInArrow(encode, "part int, packed binary")
 
 
 def encode_decode(docs: DataFrame, tokenizer: str, digests: bool = False, group_bytes: int = GROUP_BYTES) -> DataFrame:
@@ -194,6 +186,6 @@ def encode_decode(docs: DataFrame, tokenizer: str, digests: bool = False, group_
     row = F.monotonically_increasing_id()
     dealt = rows.select(row.alias("text_id"), "doc_id", "text").withColumn("part", F.pmod("text_id", F.lit(groups)).cast("int"))
     packed = dealt.mapInArrow(_pack, "part int, text_id bigint, doc_id bigint, packed binary").repartition(groups, "part")
-    bundles = word_table(packed, tokenizer).mapInArrow(_bundle, "part int, packed binary").repartition(groups, "part")
+    bundles = word_table(packed, tokenizer, groups).repartition(groups, "part")
     both = packed.groupBy("part").cogroup(bundles.groupBy("part"))
     return both.applyInArrow(_digests, DIGESTS) if digests else both.applyInArrow(_encoded, ENCODED)
