@@ -57,7 +57,7 @@ def near_copies(seed):
 
 @pytest.mark.parametrize("seed, common, small, block", [(1, 16, 48, 1024), (2, 3, 4, 5), (3, 1000, 2, 3)])
 def test_against_brute_force(spark, monkeypatch, seed, common, small, block):
-    for name, value in (("COMMON", common), ("SMALL", small), ("BLOCK", block)):
+    for name, value in (("COMMON", common), ("SMALL", small), ("BLOCK", block), ("PIVOTS", min(8, small - 1))):
         monkeypatch.setattr(jaccard_join, name, value)
     data = near_copies(seed)
     docs = spark.createDataFrame(data, "doc_id bigint, text string").repartition(3)

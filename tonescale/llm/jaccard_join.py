@@ -12,7 +12,7 @@ their first n - ceil(0.8 n) + 1.  The order puts shingles of many documents last
    overlap that their positions leave possible.
 3. Groups expand to their classes.  Counts of shingles by part of their range bound
    a pair's overlap; what passes is verified on whole sets.  Large
-   buckets first link to their best member alone; what these links leave in
+   buckets first link to their best members alone; what these links leave in
    different components is then compared in blocks.  Nothing is skipped but
    pairs already connected.
 4. Components come from the verified links.
@@ -41,7 +41,7 @@ COMMON = 16
 #: Bounds of what is broadcast: frequencies of the commonest shingles, bits that mark repeated ones.
 MOST_COMMON, MOST_BITS = 1_000_000, 1 << 28
 TOKENS_PER_RANGE = 2_000_000
-SMALL, BLOCK = 48, 1024
+SMALL, PIVOTS, BLOCK = 48, 8, 1024
 
 I64 = pa.int64()
 
@@ -262,10 +262,14 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first.append(start + i)
         second.append(start + j)
     large = np.flatnonzero(sizes > SMALL)
-    for start, size in zip(starts[large], sizes[large]):  # the member with the fewest shingles of its own, and each next one
-        rest = np.arange(start + 1, start + size)
-        first += [np.full(size - 1, start), rest[:-1]]
-        second += [rest, rest[1:]]
+    for start, size in zip(starts[large], sizes[large]):  # the members with the fewest shingles of their own, and the next ones
+        for k in range(PIVOTS):
+            rest = np.arange(start + k + 1, start + size)
+            first.append(np.full(len(rest), start + k))
+            second.append(rest)
+        for k in range(1, 3):
+            first.append(np.arange(start + PIVOTS, start + size - k))
+            second.append(first[-1] + k)
         kept = start + np.flatnonzero(has_partner(spots[start : start + size]))
         yield _found(1, tokens[kept], groups[kept], spots[kept])
     i, j = np.concatenate(first), np.concatenate(second)
