@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tonescale.llm.batches import texts_of
 
 #: At most about so many documents train the scorer.
-SAMPLE = 8192
+SAMPLE = 16384
 BUCKETS = 1 << 15
 KNOWN_WORDS = 300_000
 GOOD, BAD, NONE = 1, 0, 2
@@ -131,7 +131,7 @@ def word_buckets(word: str) -> tuple[int, int]:
     capitals = "C" if len(letters) > 1 and all(map(str.isupper, letters)) else "c"
     symbols = "".join(sorted(set(SYMBOLS.findall(word))))
     size = min(12, len(bare))
-    return zlib.crc32(b"w " + bare[:5].encode()) % BUCKETS, zlib.crc32(f"f {capitals}{symbols}{size // 4}".encode()) % BUCKETS
+    return zlib.crc32(b"w " + bare[:4].encode()) % BUCKETS, zlib.crc32(f"f {capitals}{symbols}{size // 4}".encode()) % BUCKETS
 
 
 class Buckets(dict):
@@ -166,7 +166,7 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
 class Scorer:
     """A linear model over hashed features, trained on soft labels by gradient steps."""
 
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray, float]], steps: int = 250, rate: float = 0.3, decay: float = 1e-4):
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray, float]], steps: int = 250, rate: float = 0.6, decay: float = 1e-5):
         self.weights, self.bias = np.zeros(BUCKETS), 0.0
         if not rows:
             return
