@@ -133,12 +133,6 @@ def test_lexicon_shape_errors(spark, tmp_path):
         lexicons.load_lexicon(spark, str(tmp_path / "none.json"))
 
 
-def test_default_lexicon(spark):
-    weights = dict(rows(lexicons.default_lexicon(spark), "token", "weight"))
-    assert len(weights) == 78 and sum(weights.values()) == 0
-    assert weights["profit"] == 1 and weights["lawsuit"] == -1
-
-
 def test_records_must_be_lists(spark, tmp_path):
     path = write(tmp_path / "tokens.json", '\n [{"doc_id": 1, "tokens": ["a"], "label": "x"}, {"doc_id": 2}]')
     assert rows(load_token_records(spark, path), "doc_id", "tokens", "label") == [
@@ -153,3 +147,33 @@ def test_records_must_be_lists(spark, tmp_path):
             load(spark, str(tmp_path / "none.json"))
         with pytest.raises(ValueError, match="format"):
             load(spark, single, "xml")
+
+
+@pytest.mark.parametrize("text", ['{"good": 1', '{"good": 1, "bad": ', "", '{"good": 1} trailing', '{"a": 1} {"b": 2}', "[1]", "7"])
+def test_lexicon_must_be_one_whole_object(spark, tmp_path, text):
+    (tmp_path / "lexicon.json").write_text(text)
+    with pytest.raises(ValueError):
+        lexicons.load_lexicon(spark, str(tmp_path / "lexicon.json"))
+
+
+def test_empty_lexicon_object(spark, tmp_path):
+    (tmp_path / "lexicon.json").write_text(" {} ")
+    assert lexicons.load_lexicon(spark, str(tmp_path / "lexicon.json")).count() == 0
+
+
+def test_csv_with_an_unquoted_comma_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("q,Profit rose, strongly\n")
+    with pytest.raises(Exception):
+        source.read_csv(spark, str(tmp_path / "a.csv")).collect()
+
+
+@pytest.mark.parametrize("text", ['{"text": ["a", "b", "c"], "label": ["p"]}', '{"text": ["a"], "lang": "en"}'])
+def test_columns_must_be_equally_long_lists(spark, tmp_path, text):
+    (tmp_path / "a.json").write_text(text)
+    with pytest.raises(Exception):
+        source.read_json(spark, str(tmp_path / "a.json")).collect()
+
+
+def test_list_after_much_white_space(spark, tmp_path):
+    (tmp_path / "a.json").write_text(" " * 1200 + '[{"doc_id": 1, "tokens": ["a"]}]')
+    assert load_token_records(spark, str(tmp_path / "a.json")).count() == 1

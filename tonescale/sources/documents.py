@@ -62,10 +62,11 @@ def read_csv(
     """Headerless ``label,text`` file with doubled quotes.
 
     ``multi_line`` allows line breaks inside quotes but reads a file as one
-    split; switch it off for large files without such breaks.
+    split; switch it off for large files without such breaks.  A row with more
+    or fewer fields is an error.
     """
     docs = spark.read.schema(RAW_DOCUMENT).csv(
-        path, encoding=encoding, header=False, escape='"', multiLine=multi_line
+        path, encoding=encoding, header=False, escape='"', multiLine=multi_line, mode="FAILFAST"
     )
     if pandas_na:
         docs = docs.select(
@@ -97,8 +98,20 @@ def _columns_to_rows(frame: DataFrame) -> DataFrame:
         )
     if not isinstance(kinds[text], T.ArrayType):
         return frame
-    columns = [name for name, kind in kinds.items() if isinstance(kind, T.ArrayType)]
-    return frame.select(F.inline(F.arrays_zip(*columns)))
+    scalars = [name for name, kind in kinds.items() if not isinstance(kind, T.ArrayType)]
+    if scalars:
+        raise ValueError(f"columns beside the column '{text}' of texts must be lists, too: {', '.join(scalars)}")
+    sizes = [F.coalesce(F.size(name), F.lit(-1)) for name in kinds]
+    unequal = F.lit(False)
+    for size in sizes[1:]:
+        unequal = unequal | (size != sizes[0])
+    zipped = F.arrays_zip(*kinds)
+    checked = F.when(unequal, F.raise_error(F.lit("columns of unequal length")).cast(_zip_type(kinds))).otherwise(zipped)
+    return frame.select(F.inline(checked))
+
+
+def _zip_type(kinds: dict[str, T.DataType]) -> T.ArrayType:
+    return T.ArrayType(T.StructType([T.StructField(name, kind.elementType) for name, kind in kinds.items()]))
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:

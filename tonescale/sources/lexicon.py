@@ -8,35 +8,28 @@ from pyspark.sql import functions as F
 
 from tonescale.operators.scoring import lexicon_table, small_lexicon
 
-# The default financial lexicon, +1 and -1 per word.
-POSITIVE_WORDS = """
-good great excellent strong profit profits profitable growth improve improved
-improvement increase increased gain gains benefit benefits successful success
-stable positive up upgrade upgraded record high higher rise rising rose boost
-boosted robust favorable optimistic efficient efficiency recovery recover
-"""
-NEGATIVE_WORDS = """
-bad poor weak loss losses decline declined drop dropped decrease decreased fall
-fell falling negative risk risks uncertain uncertainty crisis concern concerns
-downgrade downgraded cut cuts bankrupt bankruptcy recession volatile volatility
-slow slower failed failure pressure pressured lawsuit penalty
-"""
-
-
 LOCAL_TERMS = 10_000
 
 
-def default_lexicon(spark: SparkSession) -> DataFrame:
-    weights = {word: 1 for word in POSITIVE_WORDS.split()}
-    weights.update({word: -1 for word in NEGATIVE_WORDS.split()})
-    return lexicon_table(spark, weights)
-
-
 def _entries(json: Column, kind: str) -> Column:
     """Position, key and value of a JSON object's members, repeated keys included."""
     return F.posexplode(F.from_json(json, f"map<string,{kind}>"))
 
 
+def _require_object(source: DataFrame, text: Column) -> None:
+    """Every text must be exactly one JSON object: not cut off, not empty, with nothing behind it.
+
+    As the only member of a list it must parse strictly to a list of one object.
+    """
+    wrapped = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>", {"mode": "FAILFAST"})
+    try:
+        wrong = source.filter(F.coalesce(F.size(wrapped) != 1, F.lit(True)) | ~F.ltrim(F.regexp_replace(text, r"\s", " ")).startswith("{")).limit(1).count()
+    except Exception as error:  # the parser's own error, at the first malformed text
+        raise ValueError("a lexicon must be one JSON object") from error
+    if wrong or not source.limit(1).count():
+        raise ValueError("a lexicon must be one JSON object")
+
+
 def parse_lexicon(source: DataFrame) -> DataFrame:
     """Lexicon table from a one-column frame holding JSON text.
 
@@ -45,6 +38,7 @@ def parse_lexicon(source: DataFrame) -> DataFrame:
     all members are blocks of words or all are words.
     """
     text = F.col(source.columns[0])
+    _require_object(source, text)
     members = source.select(_entries(text, "string").alias("block_pos", "key", "body"))
     is_block = F.col("body").startswith("{")
     shape = members.agg(
@@ -52,10 +46,6 @@ def parse_lexicon(source: DataFrame) -> DataFrame:
         F.count_if(is_block).alias("blocks"),
         F.first(F.when(~is_block | F.col("body").isNull(), F.col("key")), ignorenulls=True).alias("plain"),
     ).first()
-    if shape.members == 0:
-        is_object = F.regexp_replace(text, r"\s+", "").startswith("{")
-        if source.filter(~is_object).limit(1).count():
-            raise ValueError("a lexicon must be a JSON object")
     if 0 < shape.blocks < shape.members:
         raise ValueError(f"block '{shape.plain}' must be an object of word weights")
 
