@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tests.llm.test_token_counts import TRAPS
+from test_token_counts import TRAPS
 from tonescale.llm.bpe import encode_decode
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tests.llm.test_jaccard_join import shingles
+from test_jaccard_join import shingles
 from tonescale.llm.decontaminate import contaminated
 
 
