@@ -106,11 +106,29 @@ def test_zero_weights_and_empty_lexicon(spark):
             assert rows(scored, *COLUMNS) == [(1, 0, 0, 0, "neutral")]
 
 
-@pytest.mark.parametrize("form", ["broadcast", "shuffled"])
-def test_join_forms_refuse_repeated_ids(spark, edge_lexicon, form):
-    docs = spark.createDataFrame([(1, ["profit"]), (1, ["loss"])], "doc_id bigint, tokens array<string>")
-    with pytest.raises(PySparkException, match="not unique"):
-        docs.transform(scoring.score_documents(edge_lexicon, form)).collect()
+@pytest.mark.parametrize("terms", [1, 128, 129, 20_000])
+def test_repeated_and_missing_ids_at_every_lexicon_size(spark, terms):
+    data = [(1, ["profit"]), (1, ["loss", "Profit", "profit"]), (None, ["profit"]), (None, ["x"]), (None, None), (2, ["loss", None])]
+    docs = spark.createDataFrame(data, "doc_id bigint, tokens array<string>")
+    weights = {"profit": 1, **{f"t{i}": -1 for i in range(terms - 1)}}
+    lexicon = scoring.lexicon_table(spark, weights)
+    expected = sorted(((-1 if i is None else i), sum((t or "").lower() == "profit" for t in tokens or [])) for i, tokens in data)
+    for form in ("auto", "broadcast", "shuffled"):
+        assert rows(docs.transform(scoring.score_documents(lexicon, form)), "doc_id", "score") == expected
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_lexicon_tables_are_folded_and_unique(spark, form):
+    docs = spark.createDataFrame([(1, ["that", "THAT"])], "doc_id bigint, tokens array<string>")
+
+    def score(*terms):
+        lexicon = spark.createDataFrame(terms, "token string, weight bigint")
+        return rows(docs.transform(scoring.score_documents(lexicon, form)), "score")
+
+    assert score(("That", 2), ("that", 2)) == [(4,)]
+    for wrong in ([("that", 1), ("That", 3)], [("that", None)], [(None, 1)]):
+        with pytest.raises(PySparkException, match="without one weight"):
+            score(*wrong)
 
 
 def test_form_follows_the_size_of_the_lexicon(spark, monkeypatch):

@@ -51,6 +51,20 @@ def lexicon_table(spark: SparkSession, weights: dict[str, int]) -> DataFrame:
     return spark.createDataFrame(columns, LEXICON)
 
 
+def as_lexicon(lexicon: DataFrame) -> DataFrame:
+    """Token and weight with folded, unique terms and no missing values.
+
+    A table may hold a term twice, or in two spellings, only with one weight.
+    """
+    token = F.lower("token").alias("token")
+    weights = lexicon.select(token, F.col("weight").cast("bigint").alias("weight")).groupBy("token")
+    least, most = F.min("weight"), F.max("weight")
+    known = F.col("token").isNotNull() & (F.count("weight") == F.count(F.lit(1)))
+    message = F.concat(F.lit("lexicon term without one weight: "), F.coalesce(F.col("token"), F.lit("NULL")))
+    checked = F.when(known & (least == most), least).otherwise(F.raise_error(message).cast("bigint"))
+    return weights.agg(checked.alias("weight"))
+
+
 def small_lexicon(lexicon: DataFrame, limit: int = LITERAL_TERMS) -> dict[str, int] | None:
     """The lexicon as a mapping when it has at most ``limit`` terms."""
     rows = lexicon.select("token", "weight").limit(limit + 1).collect()
@@ -58,9 +72,9 @@ def small_lexicon(lexicon: DataFrame, limit: int = LITERAL_TERMS) -> dict[str, i
 
 
 def lexicon_bytes(lexicon: DataFrame) -> int:
-    """Estimated size of the lexicon as a broadcast table."""
-    size = lexicon.agg(F.sum(F.octet_length("token") + TERM_OVERHEAD)).first()[0]
-    return size or 0
+    """Estimated size of the lexicon as a broadcast table; every weight is computed, and so checked."""
+    size = F.sum(F.octet_length("token") + TERM_OVERHEAD).alias("size")
+    return lexicon.agg(size, F.sum("weight").alias("total")).first().size or 0
 
 
 def lexicon_size(lexicon: DataFrame) -> int:
@@ -69,7 +83,10 @@ def lexicon_size(lexicon: DataFrame) -> int:
 
 
 def choose_form(lexicon: DataFrame, form: str = "auto") -> tuple[str, dict[str, int] | None]:
-    """The form to use and, for the literal one, the lexicon as a mapping."""
+    """The form to use and, for the literal one, the lexicon as a mapping.
+
+    All forms give the same scores; the choice is one of cost.
+    """
     if form in ("auto", "literal"):
         limit = LITERAL_TERMS if form == "auto" else LITERAL_TERMS_ON_REQUEST
         weights = small_lexicon(lexicon, limit)
@@ -80,11 +97,25 @@ def choose_form(lexicon: DataFrame, form: str = "auto") -> tuple[str, dict[str,
         return ("broadcast" if lexicon_bytes(lexicon) <= BROADCAST_BYTES else "shuffled"), None
     if form not in ("broadcast", "shuffled"):
         raise ValueError(f"unknown scoring form: {form}")
-    if form == "broadcast" and lexicon_bytes(lexicon) > BROADCAST_BYTES:
+    if lexicon_bytes(lexicon) > BROADCAST_BYTES and form == "broadcast":
         raise ValueError(f"the broadcast form takes a lexicon of at most {BROADCAST_BYTES} bytes")
     return form, None
 
 
+def checked_lexicon(lexicon: DataFrame, form: str) -> tuple[DataFrame, str, dict[str, int] | None]:
+    """The folded lexicon, the form to use, and the mapping of the literal form.
+
+    For a join the lexicon becomes a local relation or, with many terms, a
+    written table, so no plan of documents repeats its check.
+    """
+    terms = as_lexicon(lexicon)
+    chosen, weights = choose_form(terms, form)
+    if weights is None:
+        local = small_lexicon(terms, LITERAL_TERMS_ON_REQUEST)
+        terms = write_once(terms, "lexicon") if local is None else lexicon_table(lexicon.sparkSession, local)
+    return terms, chosen, weights
+
+
 # --- literal form -----------------------------------------------------------
 
 
@@ -223,11 +254,12 @@ def score_documents(
     A ``label``, where there is one, is added normalized as ``true_label``.
     Use as ``docs.transform(score_documents(lexicon))`` on a frame with
     ``doc_id`` and ``tokens``.  The literal form is stateless and also takes
-    streams; the join forms need unique ids and raise on repeated ones.
+    streams.  Repeated and missing ids are fine in every form: the join forms
+    score each distinct list of tokens once and join the scores back on it.
     """
 
     def apply(docs: DataFrame) -> DataFrame:
-        chosen, weights = choose_form(lexicon, form)
+        terms, chosen, weights = checked_lexicon(lexicon, form)
         docs = docs.withColumns(
             {
                 "doc_id": F.coalesce(F.col("doc_id"), F.lit(-1).cast("bigint")),
@@ -238,7 +270,10 @@ def score_documents(
             scored = literal_scores(docs, weights, fold)
         else:
             scorer = broadcast_scores if chosen == "broadcast" else shuffled_scores
-            scored = docs.join(scorer(docs, lexicon, fold).drop("token_count"), "doc_id")
+            keyed = docs.withColumn("_key", F.sha2(F.to_json(F.struct("tokens")), 256))
+            distinct = keyed.select(F.col("_key").alias("doc_id"), "tokens").dropDuplicates(["doc_id"])
+            scores = scorer(distinct, terms, fold).drop("token_count").withColumnRenamed("doc_id", "_key")
+            scored = keyed.join(scores, "_key").drop("_key")
         scored = scored.withColumn("predicted_sentiment", score_to_label(F.col("score")))
         if "label" in docs.columns:
             scored = scored.withColumn("true_label", normalize_label(F.col("label").cast("string")))
@@ -263,7 +298,7 @@ def score_corpus(
     """
     carry = list(carry)
     filled = fill_missing_text(docs, null_policy).filter(has_token(F.col("text")))
-    chosen, weights = choose_form(lexicon, form)
+    lexicon, chosen, weights = checked_lexicon(lexicon, form)
     numbers = [*SCORE_COLUMNS, "token_count"]
     read = filled.select(
         "doc_id",

@@ -289,7 +289,7 @@ def json_column_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrays = F.struct(*[F.col(f"records.{name}").alias(name) for name in columns])
     objects = grouped.select("part", F.to_json(arrays).alias("value"))
     objects.write.partitionBy("part").text(path)
-    return load_documents(spark, path, "json")
+    return load_documents(spark, path, "json").drop("part")
 
 
 def jsonl_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,16 +98,15 @@ def _columns_to_rows(frame: DataFrame) -> DataFrame:
         )
     if not isinstance(kinds[text], T.ArrayType):
         return frame
-    scalars = [name for name, kind in kinds.items() if not isinstance(kind, T.ArrayType)]
-    if scalars:
-        raise ValueError(f"columns beside the column '{text}' of texts must be lists, too: {', '.join(scalars)}")
-    sizes = [F.coalesce(F.size(name), F.lit(-1)) for name in kinds]
+    lists = {name: kind for name, kind in kinds.items() if isinstance(kind, T.ArrayType)}
+    sizes = [F.coalesce(F.size(name), F.lit(-1)) for name in lists]
     unequal = F.lit(False)
     for size in sizes[1:]:
         unequal = unequal | (size != sizes[0])
-    zipped = F.arrays_zip(*kinds)
-    checked = F.when(unequal, F.raise_error(F.lit("columns of unequal length")).cast(_zip_type(kinds))).otherwise(zipped)
-    return frame.select(F.inline(checked))
+    zipped = F.arrays_zip(*lists)
+    checked = F.when(unequal, F.raise_error(F.lit("columns of unequal length")).cast(_zip_type(lists))).otherwise(zipped)
+    scalars = [name for name in kinds if name not in lists]  # the same for every row
+    return frame.select(*scalars, F.inline(checked))
 
 
 def _zip_type(kinds: dict[str, T.DataType]) -> T.ArrayType:
