@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tonescale.llm.batches import texts_of
 from tonescale.llm.shingles import mix, shingles_of
 
-VALUES, BLOCK, CONTAINMENT = 48, 20_000, 0.8
+VALUES, BLOCK, CONTAINMENT = 72, 20_000, 0.8
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:

@@ -32,7 +32,6 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tonescale.llm.batches import pairs, texts_of
 
@@ -314,12 +313,11 @@ def count_tokens(docs: DataFrame, tokenizer: str, over: int = OVER, chunk: int =
     Chunks of a text are keyed by a row number of the input partition, so the
     input must be one that Spark can compute again in the same order (a table).
     """
-    schema = T._parse_datatype_string(MAP_SCHEMA)
+    names = [column.split()[0] for column in MAP_SCHEMA.split(", ")]
     rows = texts_of(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
 
     def maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = transducer(tokenizer)
-        names = [f.name for f in schema]
         for batch in batches:
             out: list[tuple] = []
             for row, doc_id, text in pairs(batch):
