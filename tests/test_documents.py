@@ -76,3 +76,14 @@ def test_dedup_is_idempotent_and_independent_of_partitions(spark):
 def test_preview(edge_documents):
     preview = ops.preview_documents(edge_documents, rows=3)
     assert rows(preview, "doc_id") == [(1,), (3,), (6,)]
+
+
+def test_repeated_and_missing_ids(spark):
+    data = [(5, "a"), (5, "a"), (5, "b"), (3, "b"), (None, "a"), (None, "c"), (None, "c"), (5, "d"), (None, "e")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string").repartition(3)
+    expected = sorted([(5, "a"), (3, "b"), (None, "c"), (5, "d"), (None, "e")], key=repr)
+    assert rows(ops.drop_duplicates(docs)) == expected
+    assert rows(ops.prepare_documents(docs), "doc_id", "text") == expected
+    assert rows(ops.preview_documents(docs, rows=9), "doc_id", "text") == expected
+    assert rows(ops.preview_documents(docs, rows=3), "doc_id", "text") == sorted([(3, "b"), (5, "a"), (5, "d")], key=repr)
+    assert ops.preprocess_counters(docs).first().rows_out == len(expected)

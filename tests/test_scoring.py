@@ -117,6 +117,28 @@ def test_repeated_and_missing_ids_at_every_lexicon_size(spark, terms):
         assert rows(docs.transform(scoring.score_documents(lexicon, form)), "doc_id", "score") == expected
 
 
+@pytest.mark.parametrize("terms", [1, 128, 129, 20_000])
+def test_corpus_of_repeated_and_missing_ids_at_every_lexicon_size(spark, terms):
+    data = [
+        (1, "profit", "b"), (1, "profit", "a"), (1, "loss Profit profit", "c"), (None, "profit", "0"), (None, "x", "e"),
+        (None, "x", "d"), (None, "Loss t0", None), (2, "loss", "f"), (3, "loss", "g"), (None, " .", "h"), (4, "profit  x", "i"),
+    ]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, tag string").repartition(3)
+    weights = {"profit": 1, **{f"t{i}": -1 for i in range(terms - 1)}}
+    lexicon = scoring.lexicon_table(spark, weights)
+    t0 = -1 if terms > 1 else 0
+    expected = [(1, 1, 1, "a"), (1, 2, 3, "c"), (-1, 0, 1, "d"), (-1, t0, 2, None), (2, 0, 1, "f"), (4, 1, 2, "i")]
+    for form in ("auto", "broadcast", "shuffled"):
+        scored = scoring.score_corpus(docs, lexicon, form, carry=["tag"])
+        assert rows(scored, "doc_id", "score", "token_count", "tag") == sorted(expected, key=repr)
+
+
+def test_lexicon_hits_count_documents_without_ids(spark):
+    data = [(None, ["up", "up"]), (None, ["up"]), (1, ["up", "x"]), (1, ["up"])]
+    docs = spark.createDataFrame(data, "doc_id bigint, tokens array<string>")
+    assert rows(scoring.lexicon_hits(docs, scoring.lexicon_table(spark, {"up": 1}))) == [("up", 1, 5, 4)]
+
+
 @pytest.mark.parametrize("form", FORMS)
 def test_lexicon_tables_are_folded_and_unique(spark, form):
     docs = spark.createDataFrame([(1, ["that", "THAT"])], "doc_id bigint, tokens array<string>")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tonescale.operators import documents as docs_ops
 from tonescale.operators import scoring, summaries
 from tonescale.sources.records import load_partials
-from tonescale.streaming.scoring import partials_writer, score_stream
+from tonescale.streaming.scoring import partials_writer, score_stream, scored_writer
 
 COLUMNS = ("doc_id", "score", "positive_hits", "negative_hits", "predicted_sentiment", "tokens")
 
@@ -36,3 +36,12 @@ def test_partials_survive_restarts(spark, edge_documents, edge_lexicon, tmp_path
     partials = load_partials(spark, out, "parquet")
     assert partials.agg(F.sum("documents")).first()[0] == 11
     assert summaries.merge_partials(partials).first() == summaries.summarize(batch).first()
+
+
+def test_stream_with_a_large_lexicon(spark, edge_documents, tmp_path):
+    lexicon = scoring.lexicon_table(spark, {"profit": 1, **{f"t{i}": -1 for i in range(20_000)}})
+    out = str(tmp_path / "scored")
+    writer = scored_writer(arriving(spark, edge_documents, tmp_path / "in", 2), lexicon, out, str(tmp_path / "state"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    batch = docs_ops.clean_documents(edge_documents).transform(scoring.score_documents(lexicon))
+    assert rows(spark.read.parquet(out), *COLUMNS) == rows(batch, *COLUMNS)

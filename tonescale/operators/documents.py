@@ -38,30 +38,59 @@ def first_copies(
     """One row per ``text_key``: the lowest ``doc_id`` and the named columns.
 
     ``same_in_copies`` are functions of the text, equal in all copies;
-    ``of_first`` are taken from the row with the lowest id.  Copies are merged
-    before the shuffle, so a text that makes up a third of the corpus sends one
-    row per input task.  ``doc_id`` must be unique.
+    ``of_first`` are taken from the row with the lowest id, of rows with equal
+    ids from the one with the least values.  Copies are merged before the
+    shuffle, so a text that makes up a third of the corpus sends one row per
+    input task.  Ids may repeat; a missing one counts as the highest.
     """
+    return keyed_copies(keyed, same_in_copies, of_first).drop("text_key")
+
+
+def keyed_copies(keyed: DataFrame, same_in_copies: Iterable[str] = (), of_first: Iterable[str] = ()) -> DataFrame:
+    """As ``first_copies``, with the ``text_key``."""
+    of_first = list(of_first)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("_missing"), "doc_id", *of_first))
     merged = keyed.groupBy("text_key").agg(
         F.min("doc_id").alias("doc_id"),
         *[F.max(name).alias(name) for name in same_in_copies],
-        *[F.min_by(name, "doc_id").alias(name) for name in of_first],
+        *[least.alias("_first")] * bool(of_first),
     )
-    return merged.drop("text_key")
+    taken = [F.col("_first")[name].alias(name) for name in of_first]
+    return merged.select("text_key", "doc_id", *same_in_copies, *taken)
+
+
+def ids_are_unique(docs: DataFrame) -> bool:
+    """Whether every row has an id of its own; runs one job over the ids."""
+    return docs.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").isEmpty()
 
 
-def drop_duplicates(docs: DataFrame) -> DataFrame:
+def drop_duplicates(docs: DataFrame, unique: bool | None = None) -> DataFrame:
     """Keep, of every set of equal raw texts, the row with the lowest ``doc_id``.
 
-    The groups are built on digests and ids only.  The texts then meet the
-    surviving ids in a semi-join on the unique id, which is free of skew, and
-    hashing the ids (a small part of each partition's text) spares sorting the
-    texts.  Later steps by ``doc_id`` reuse this partitioning.
+    The groups are built on digests and ids only.  With unique ids the texts
+    then meet the surviving ids in a semi-join on the id, which is free of
+    skew, and hashing the ids (a small part of each partition's text) spares
+    sorting the texts.  Later steps by ``doc_id`` reuse this partitioning.
+
+    Where ids repeat or are missing (``unique``, checked if not given),
+    survivors are keyed by digest and id, and rows equal in both become one.
+    A missing id counts as the highest.
     """
-    docs = docs.filter(F.col("doc_id").isNotNull())
     keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"))
-    survivors = first_copies(keyed).hint("shuffle_hash")
-    return docs.join(survivors, "doc_id", "left_semi")
+    if ids_are_unique(docs) if unique is None else unique:
+        return docs.join(first_copies(keyed).hint("shuffle_hash"), "doc_id", "left_semi")
+    # Equal rows merge in their tasks first, so no text or missing id is hot.
+    rest = [name for name in docs.columns if name not in ("doc_id", "text")]
+    once = docs.withColumn("text_key", text_key(F.col("text"))).groupBy("text_key", "doc_id").agg(
+        F.min(F.struct("text", *rest)).alias("_row")
+    )
+    survivors = keyed_copies(keyed).withColumnRenamed("doc_id", "_first")
+    kept = once.join(
+        survivors,
+        (once["text_key"] == survivors["text_key"]) & once["doc_id"].eqNullSafe(survivors["_first"]),
+        "left_semi",
+    )
+    return kept.select(*["doc_id" if name == "doc_id" else F.col("_row")[name].alias(name) for name in docs.columns])
 
 
 def clean_documents(docs: DataFrame, null_policy: str = "nan") -> DataFrame:
@@ -80,7 +109,7 @@ def clean_documents(docs: DataFrame, null_policy: str = "nan") -> DataFrame:
 
 def unique_documents(docs: DataFrame, null_policy: str = "nan") -> DataFrame:
     """Non-blank documents without repeated texts."""
-    return drop_duplicates(drop_blank(fill_missing_text(docs, null_policy)))
+    return drop_duplicates(drop_blank(fill_missing_text(docs, null_policy)), ids_are_unique(docs))
 
 
 def prepare_documents(docs: DataFrame, null_policy: str = "nan") -> DataFrame:
@@ -89,7 +118,7 @@ def prepare_documents(docs: DataFrame, null_policy: str = "nan") -> DataFrame:
     Copies agree on having tokens, so empty documents leave before the dedup.
     """
     filled = fill_missing_text(docs, null_policy).filter(has_token(F.col("text")))
-    return clean_documents(drop_duplicates(filled), null_policy)
+    return clean_documents(drop_duplicates(filled, ids_are_unique(docs)), null_policy)
 
 
 def preprocess_counters(docs: DataFrame, null_policy: str = "nan") -> DataFrame:
@@ -130,5 +159,8 @@ def preview_documents(docs: DataFrame, rows: int = 5, null_policy: str = "nan")
     """
     filled = fill_missing_text(docs, null_policy).filter(has_token(F.col("text")))
     keyed = filled.select("doc_id", text_key(F.col("text")).alias("text_key"))
-    chosen = first_copies(keyed).orderBy("doc_id").limit(rows)
-    return clean_documents(filled.join(F.broadcast(chosen), "doc_id", "left_semi"), null_policy)
+    chosen = keyed_copies(keyed).orderBy(F.asc_nulls_last("doc_id"), "text_key").limit(rows)
+    first = F.broadcast(chosen.withColumnRenamed("doc_id", "_first"))
+    same = (text_key(filled["text"]) == first["text_key"]) & filled["doc_id"].eqNullSafe(first["_first"])
+    found = filled.join(first, same, "left_semi")
+    return clean_documents(drop_duplicates(found, unique=False), null_policy)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tonescale.functions.labels import normalize_label, score_to_label
 from tonescale.functions.text import has_token, text_key, text_tokens
-from tonescale.operators.documents import fill_missing_text, first_copies, prepare_documents
+from tonescale.operators.documents import fill_missing_text, first_copies, keyed_copies
 from tonescale.runtime import write_once
 from tonescale.schemas import LEXICON
 
@@ -174,36 +174,44 @@ def _exploded(docs: DataFrame, fold: bool, carry: Iterable[str] = ()) -> DataFra
     return rows.select("doc_id", *carry, token.alias("token"), starts.alias("starts"))
 
 
-def _sum_hits(weighted: DataFrame, carry: Iterable[str] = ()) -> DataFrame:
+def _sum_hits(weighted: DataFrame, carry: Iterable[str] = (), copies: bool = False) -> DataFrame:
     """Scores per document from rows of ``weight``, ``n`` tokens and ``starts``.
 
-    ``carry`` columns depend on the id, so they join the grouping key.
+    ``carry`` columns depend on the id, so they join the grouping key.  With
+    ``copies`` the key holds the text's digest: rows of one key are copies, so
+    their sums are exact multiples of one document's numbers.
     """
     zero, n = F.lit(0).cast("bigint"), F.col("n")
     weight = F.coalesce(F.col("weight"), zero)
+    key = ["doc_id", *carry]
+    sums = {
+        "score": F.sum(weight * n),
+        "positive_hits": F.sum(F.when(weight > 0, n).otherwise(zero)),
+        "negative_hits": F.sum(F.when(weight < 0, n).otherwise(zero)),
+        "token_count": F.sum(n),
+    }
+    if copies:
+        summed = weighted.groupBy(*key).agg(*[v.alias(k) for k, v in sums.items()], F.sum("starts").alias("starts"))
+        return summed.select(*key, *[F.expr(f"{name} div starts").alias(name) for name in sums])
     message = F.concat(F.lit("doc_id is not unique: "), F.col("doc_id").cast("string"))
-    score = F.when(F.sum("starts") > 1, F.raise_error(message).cast("bigint")).otherwise(F.sum(weight * n))
-    return weighted.groupBy("doc_id", *carry).agg(
-        score.alias("score"),
-        F.sum(F.when(weight > 0, n).otherwise(zero)).alias("positive_hits"),
-        F.sum(F.when(weight < 0, n).otherwise(zero)).alias("negative_hits"),
-        F.sum(n).alias("token_count"),
-    )
+    sums["score"] = F.when(F.sum("starts") > 1, F.raise_error(message).cast("bigint")).otherwise(sums["score"])
+    return weighted.groupBy(*key).agg(*[v.alias(k) for k, v in sums.items()])
 
 
 def broadcast_scores(
-    docs: DataFrame, lexicon: DataFrame, fold: bool = True, carry: Iterable[str] = ()
+    docs: DataFrame, lexicon: DataFrame, fold: bool = True, carry: Iterable[str] = (), copies: bool = False
 ) -> DataFrame:
-    """``doc_id``, ``carry``, score columns and ``token_count``; ids must be unique.
+    """``doc_id``, ``carry``, score columns and ``token_count``.
 
-    A left join keeps documents without hits, so nothing is joined back.
+    Ids must be unique, or with ``copies`` rows equal in id and ``carry`` have
+    equal tokens and give one row.  A left join keeps documents without hits, so nothing is joined back.
     """
     carry = list(carry)
     weighted = _exploded(docs, fold, carry).join(
         F.broadcast(lexicon.select("token", "weight")), "token", "left"
     )
     n = F.when(F.col("token").isNotNull(), 1).otherwise(0).cast("bigint")
-    return _sum_hits(weighted.withColumn("n", n), carry)
+    return _sum_hits(weighted.withColumn("n", n), carry, copies)
 
 
 def shuffled_scores(
@@ -212,12 +220,13 @@ def shuffled_scores(
     fold: bool = True,
     carry: Iterable[str] = (),
     hot_parts: int = HOT_PARTS,
+    copies: bool = False,
 ) -> DataFrame:
     """As ``broadcast_scores`` for a lexicon too large to broadcast.
 
     Tokens are counted per document first, in a written table, so that the
     texts are cleaned once.  The fewer than ``hot_parts`` hot
-    tokens get their weights by broadcast, the others by a shuffled join in
+    tokens (by rows of that table) get their weights by broadcast, the others by a shuffled join in
     which no key is hot.
     """
     carry = list(carry)
@@ -229,8 +238,8 @@ def shuffled_scores(
     )
     terms = lexicon.select("token", "weight")
 
-    frequencies = counted.groupBy("token").agg(F.sum("n").alias("frequency"))
-    in_all = counted.agg(F.sum("n")).first()[0] or 0
+    frequencies = counted.groupBy("token").agg(F.count("token").alias("frequency"))
+    in_all = counted.agg(F.count("token")).first()[0]
     hot = frequencies.filter(F.col("frequency") * hot_parts > in_all).select("token")
     hot_terms = F.broadcast(hot.join(terms, "token", "left").withColumn("hot", F.lit(True)))
 
@@ -240,7 +249,7 @@ def shuffled_scores(
     resolved = marked.filter(here).select(columns)
     others = marked.filter(~here).drop("weight", "hot")
     looked_up = others.join(terms, "token", "left").select(columns)
-    return _sum_hits(resolved.unionByName(looked_up), carry)
+    return _sum_hits(resolved.unionByName(looked_up), carry, copies)
 
 
 # --- public transforms ------------------------------------------------------
@@ -295,30 +304,35 @@ def score_corpus(
     score depends on the text alone, so documents are scored where they are
     read and the copies are merged afterwards on digest, id and numbers.
     ``carry`` names further columns to take from the kept row.
+
+    One row per distinct text in every form, with the lowest id of its copies;
+    ids may repeat, and a text without any gets -1.
     """
     carry = list(carry)
     filled = fill_missing_text(docs, null_policy).filter(has_token(F.col("text")))
     lexicon, chosen, weights = checked_lexicon(lexicon, form)
     numbers = [*SCORE_COLUMNS, "token_count"]
-    read = filled.select(
-        "doc_id",
-        *carry,
-        text_key(F.col("text")).alias("text_key"),
-        text_tokens(F.col("text")).alias("tokens"),
-    )
-    if chosen == "literal":
-        sized = read.withColumn("token_count", F.size("tokens").cast("bigint"))
-        scored = literal_scores(sized, weights, fold=False)
-    elif chosen == "broadcast":
-        scored = broadcast_scores(read, lexicon, fold=False, carry=["text_key", *carry])
+    key, tokens = text_key(F.col("text")), text_tokens(F.col("text")).alias("tokens")
+    read = filled.select("doc_id", *carry, key.alias("text_key"), tokens)
     if chosen == "shuffled":
-        # Here every token is shuffled, so copies leave first.
-        unique = shuffled_scores(prepare_documents(filled, null_policy), lexicon, fold=False, carry=carry)
+        # Every token is shuffled, so the copies' tokens merge in their tasks.
+        texts = filled.select(key.alias("doc_id"), tokens)
+        scores = shuffled_scores(texts, lexicon, fold=False, copies=True).withColumnRenamed("doc_id", "text_key")
+        rows = filled.select("doc_id", *carry, key.alias("text_key"))
+        unique = keyed_copies(rows, of_first=carry).join(scores, "text_key")
     else:
+        if chosen == "literal":
+            sized = read.withColumn("token_count", F.size("tokens").cast("bigint"))
+            scored = literal_scores(sized, weights, fold=False)
+        else:
+            scored = broadcast_scores(read, lexicon, fold=False, carry=["text_key", *carry], copies=True)
         narrow = scored.select("doc_id", "text_key", *numbers, *carry)
         unique = first_copies(narrow, numbers, carry)
     return unique.select(
-        "doc_id", *carry, *numbers, score_to_label(F.col("score")).alias("predicted_sentiment")
+        F.coalesce("doc_id", F.lit(-1).cast("bigint")).alias("doc_id"),
+        *carry,
+        *numbers,
+        score_to_label(F.col("score")).alias("predicted_sentiment"),
     )
 
 
@@ -329,15 +343,15 @@ def lexicon_hits(prepared: DataFrame, lexicon: DataFrame) -> DataFrame:
     the complete counts, one row per token, so that no key is hot.
     """
     terms = lexicon.select("token", "weight")
-    tokens = prepared.select("doc_id", F.explode_outer("tokens").alias("token"))
+    # Every token counts as a hit, and once more as a document where it is distinct.
+    hits, documents = (
+        F.transform(tokens, lambda t: F.struct(t.alias("token"), F.lit(h).alias("hit"), F.lit(d).alias("document")))
+        for tokens, h, d in ((F.col("tokens"), 1, 0), (F.array_distinct("tokens"), 0, 1))
+    )
+    tokens = prepared.select(F.explode_outer(F.concat(hits, documents)).alias("t")).select("t.*")
     small = lexicon_bytes(lexicon) <= BROADCAST_BYTES
     if small:
         tokens = tokens.join(F.broadcast(terms.select("token")), "token", "left_semi")
-    counts = (
-        tokens.groupBy("doc_id", "token")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("token")
-        .agg(F.sum("n").alias("hits"), F.count(F.lit(1)).alias("documents"))
-    )
+    counts = tokens.groupBy("token").agg(F.sum("hit").alias("hits"), F.sum("document").alias("documents"))
     counted = counts.join(F.broadcast(terms) if small else terms, "token")
     return counted.select("token", "weight", "hits", "documents")

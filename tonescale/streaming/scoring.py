@@ -17,10 +17,28 @@ from tonescale.operators.summaries import partial_summary
 
 
 def score_stream(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Scored documents of a stream with ``doc_id`` and ``text``."""
+    """Scored documents of a stream with ``doc_id`` and ``text``.
+
+    The result is a stream, so the lexicon is part of the expression and has a
+    bound; ``scored_writer`` takes a lexicon of any size.
+    """
     return clean_documents(docs).transform(score_documents(lexicon, form="literal", fold=False))
 
 
+def scored_writer(docs: DataFrame, lexicon: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Score a stream with a lexicon of any size and store every micro-batch below ``path``.
+
+    As in ``partials_writer``, a replayed batch overwrites its own folder.
+    Read the result with ``spark.read.parquet(path)``.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        scored = clean_documents(batch).transform(score_documents(lexicon, fold=False))
+        scored.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return docs.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+
+
 def partials_writer(docs: DataFrame, lexicon: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Score a stream and store one partial summary per micro-batch below ``path``.
 
