@@ -89,3 +89,23 @@ def test_partners_equal_all_pairs():
             spots = (n << 31) | rng.integers(0, n // 5 + 1)
             pairs = jaccard_join.possible(spots[:, None], spots[None, :]) & ~np.eye(size, dtype=bool)
             assert (jaccard_join.has_partner(spots) == pairs.any(axis=1)).all()
+
+
+def test_only_the_commonest_shingles_reach_the_driver(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    collected = []
+
+    def collect(frame, plain=DataFrame.collect):
+        rows = plain(frame)
+        collected.append(sum(len(r["keys"]) for r in rows if "keys" in r))
+        return rows
+
+    monkeypatch.setattr(jaccard_join, "COMMON", 2)
+    monkeypatch.setattr(jaccard_join, "MOST_COMMON", 200)
+    monkeypatch.setattr(DataFrame, "collect", collect)
+    texts = [" ".join(f"a{i}" for i in range(104))] * 9 + [" ".join(f"b{i}" for i in range(2004))] * 3
+    known = jaccard_join.frequencies(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    assert sum(collected) < 8 * 300
+    assert (known.counts == 9).sum() == 100 and 50 < (known.counts == 3).sum() < 150
+    assert (known.common[1:] > known.common[:-1]).all()

@@ -83,6 +83,51 @@ class Frequencies:
         return (self.repeated[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
+def _steps(counts: np.ndarray) -> np.ndarray:
+    """Counts as steps of a scale with 64 steps a doubling, so a fixed number whatever the counts."""
+    return np.floor(64 * np.log2(counts)).astype(np.int32)
+
+
+def commonest(found: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of about the MOST_COMMON commonest shingles; only these reach the driver.
+
+    A histogram gives the step down to which all fit.  Of the next step a slice of
+    the keys fills up; keys are hashes, so a slice of the numbers is one of the keys.
+    """
+
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for batch in batches:
+            for keys, counts in zip(batch.column("keys"), batch.column("counts")):
+                yield np.frombuffer(keys.as_buffer(), np.uint64), np.frombuffer(counts.as_buffer(), np.int64)
+
+    def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, counts in unpacked(batches):
+            steps, sizes = np.unique(_steps(counts), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(steps, pa.int32()), pa.array(sizes, I64)], names=["step", "n"])
+
+    packed = found.select("keys", "counts")
+    sizes = packed.mapInArrow(histogram, "step int, n bigint").groupBy("step").agg(F.sum("n").alias("n"))
+    room, step, part = MOST_COMMON, -1, 0.0
+    for r in sizes.orderBy(F.desc("step")).collect():
+        if r.n > room:
+            step, part = r.step, room / r.n
+            break
+        room -= r.n
+    most = np.uint64(int(part * (1 << bits)))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, counts in unpacked(batches):
+            steps = _steps(counts)
+            keep = (steps > step) | ((steps == step) & (keys < most))
+            columns = [[keys[keep].tobytes()], [counts[keep].tobytes()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["keys", "counts"])
+
+    rows = packed.mapInArrow(pick, "keys binary, counts binary").collect()
+    keys = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows] or [np.empty(0, np.uint64)])
+    counts = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in rows] or [np.empty(0, np.int64)])
+    return keys, counts
+
+
 def frequencies(texts: DataFrame) -> Frequencies:
     """Counted over all documents; 8 bits finer than their number needs."""
     spark = texts.sparkSession
@@ -122,15 +167,12 @@ def frequencies(texts: DataFrame) -> Frequencies:
         return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["part", "keys", "counts", "marks"])
 
     packed = texts.mapInArrow(blocks, "part int, packed binary")
-    found = packed.groupBy("part").applyInArrow(count, "part int, keys binary, counts binary, marks binary").collect()
-    keys = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in found] or [np.empty(0, np.uint64)])
-    counts = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in found] or [np.empty(0, np.int64)])
-    if len(keys) > MOST_COMMON:  # the order may be any; the commonest matter most
-        top = np.lexsort((keys, -counts))[:MOST_COMMON]
-        keys, counts = keys[top], counts[top]
+    counted = packed.groupBy("part").applyInArrow(count, "part int, keys binary, counts binary, marks binary")
+    found = write_once(counted, "frequencies")
+    keys, counts = commonest(found, bits)
     by_key = np.argsort(keys)
     repeated = np.zeros((1 << wide) // 8, np.uint8)
-    for r in found:
+    for r in found.select("part", "marks").collect():
         marks = np.frombuffer(zlib.decompress(r["marks"]), np.uint8)
         repeated[r["part"] * len(marks) : (r["part"] + 1) * len(marks)] = marks
     return Frequencies(bits, keys[by_key], counts[by_key], repeated)
