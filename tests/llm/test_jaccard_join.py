@@ -109,3 +109,28 @@ def test_only_the_commonest_shingles_reach_the_driver(spark, monkeypatch):
     assert sum(collected) < 8 * 300
     assert (known.counts == 9).sum() == 100 and 50 < (known.counts == 3).sum() < 150
     assert (known.common[1:] > known.common[:-1]).all()
+
+
+@pytest.mark.parametrize("seed, block", [(1, 1024), (2, 3)])
+def test_second_round_compares_different_labels_only(spark, monkeypatch, seed, block):
+    """A connected family of one group is dealt nowhere; other pairs are those of brute force."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    rng, dealt, plain = random.Random(seed), [], jaccard_join.crossed
+    members = [(g, 100 * g + i) for g in range(4) for i in range((1, 3, 9, 30)[g])]
+    labels = {c: rng.choice([100, 200]) if g in (1, 2) else 300 for g, c in members}  # groups 0 and 3 are connected
+    found = [(0, 0, 3, 0), (0, 1, 2, 0), (0, 0, 1, 0), (1, 77, 2, 10 << 31), (1, 77, 3, 10 << 31)]
+    expected = {(a, b) for g, a in members for h, b in members if labels[a] != labels[b] and a < b and (g == h or (g, h) in {(0, 1), (1, 2), (2, 3)})}
+
+    def crossed(rows):
+        dealt.extend(rows.select("kind", "token", "other").distinct().collect())
+        return plain(rows)
+
+    monkeypatch.setattr(jaccard_join, "crossed", crossed)
+    pairs = jaccard_join.second_round(
+        spark.createDataFrame(found, "kind int, a bigint, b bigint, spot bigint"),
+        spark.createDataFrame(members, "group_id bigint, class_id bigint"),
+        spark.createDataFrame(list(labels.items()), "node bigint, label bigint"),
+        spark.createDataFrame([], "a bigint, b bigint"),
+    )
+    assert sorted(map(tuple, pairs.collect())) == sorted(expected)
+    assert (1, 3, 3) not in set(map(tuple, dealt)) and (2, 0, 3) not in set(map(tuple, dealt))

@@ -320,24 +320,49 @@ TRIANGLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of classes in different components, bucket by bucket and block by block."""
-    token, low, high, block, spots, ids, labels = _whole(batches, 7)
-    order = np.lexsort((high, low, token))
-    token, low, high, block, spots, ids, labels = (c[order] for c in (token, low, high, block, spots, ids, labels))
-    new = (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
-    for part in np.split(np.arange(len(token)), np.flatnonzero(new) + 1):
-        if len(part) < 2:
-            continue
-        left = part if low[part[0]] == high[part[0]] else part[block[part] == low[part]]
-        right = part if low[part[0]] == high[part[0]] else part[block[part] == high[part]]
+    """Pairs of classes in different components, cell by cell.
+
+    A cell compares a block of the members outside the bucket's largest component
+    (``minor``) with a block of all members.  Members of one ``side`` other than 0
+    are not compared.
+    """
+    kind, token, other, low, high, minor, side, spots, ids, labels = _whole(batches, 10)
+    order = np.lexsort((high, low, other, token, kind))
+    keys = np.stack([kind, token, other, low, high])[:, order]
+    minor, side, spots, ids, labels = (c[order] for c in (minor, side, spots, ids, labels))
+    new = (keys[:, 1:] != keys[:, :-1]).any(axis=0)
+    for part in np.split(np.arange(len(order)), np.flatnonzero(new) + 1):
+        left, right = part[minor[part] == 1], part[minor[part] == 0]
         i, j = (x.ravel() for x in np.meshgrid(left, right))
-        fits = (labels[i] != labels[j]) & (ids[i] < ids[j] if low[part[0]] == high[part[0]] else True)
+        fits = (labels[i] != labels[j]) & ((side[i] == 0) | (side[i] != side[j]))
         i, j = i[fits], j[fits]
         fits = possible(spots[i], spots[j])
         a, b = _unique_pairs(ids[i[fits]], ids[j[fits]])
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
+def crossed(rows: DataFrame) -> DataFrame:
+    """Pairs of members with different labels of every bucket (kind, token, other).
+
+    Buckets of one label are left out.  One of two different labels is not the
+    bucket's largest, so only members without that label are dealt against all:
+    no more than about twice the pairs that have to be compared.
+    """
+    key = ["kind", "token", "other"]
+    by_label = rows.groupBy(*key, "label").agg(F.count("*").alias("m"))
+    largest = F.max(F.struct("m", "label"))
+    apart = by_label.groupBy(*key).agg(F.sum("m").alias("all"), largest.alias("largest"), F.count("*").alias("n")).filter("n > 1")
+    minors = F.ceil((F.col("all") - F.col("largest.m")) / BLOCK).cast("bigint")
+    bounds = apart.select(*key, F.col("largest.label").alias("major"), minors.alias("lows"), F.ceil(F.col("all") / BLOCK).cast("bigint").alias("highs"))
+    placed = rows.join(bounds, key)
+    zero, hashed = F.lit(0).cast("bigint"), F.xxhash64("class_id", "side")
+    columns = ["side", "spot", "class_id", "label"]
+    low, high = F.pmod(hashed, F.col("lows")).alias("low"), F.pmod(hashed, F.col("highs")).alias("high")
+    outside = placed.filter("label != major").select(*key, low, F.explode(F.sequence(zero, F.col("highs") - 1)).alias("high"), F.lit(1).cast("bigint").alias("minor"), *columns)
+    everyone = placed.select(*key, F.explode(F.sequence(zero, F.col("lows") - 1)).alias("low"), high, zero.alias("minor"), *columns)
+    return outside.union(everyone).repartition(*key, "low", "high").mapInArrow(_cross, "a bigint, b bigint")
+
+
 # ---- sketches ------------------------------------------------------------------------------
 
 
@@ -453,24 +478,23 @@ def second_round(found: DataFrame, members: DataFrame, labels: DataFrame, done:
     label = F.coalesce("label", "class_id").alias("label")
     placed = members.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left").select("group_id", "class_id", label)
     large = found.filter("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("group_id"), "spot")
-    rows = large.join(placed, "group_id").select("token", "spot", "class_id", "label")
-    apart = rows.groupBy("token").agg(F.count("*").alias("m"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
-    blocks = rows.join(apart.select("token", F.ceil(F.col("m") / BLOCK).cast("bigint").alias("blocks")), "token")
-    own = blocks.withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("bigint"))
-    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    dealt = dealt.select("token", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "spot", "class_id", "label")
-    in_buckets = dealt.repartition("token", "low", "high").mapInArrow(_cross, "a bigint, b bigint")
-    # members of groups that are not the group's first class
-    one = placed.select(F.col("group_id").alias("a"), F.col("class_id").alias("x"), F.col("label").alias("lx"))
-    two = placed.select(F.col("group_id").alias("b"), F.col("class_id").alias("y"), F.col("label").alias("ly"))
-    several = members.groupBy("group_id").agg(F.count("*").alias("k")).filter("k > 1").select("group_id")
-    group_pairs = found.filter("kind = 0").select("a", "b")
-    touched = group_pairs.join(several.withColumnRenamed("group_id", "a"), "a", "left_semi").union(
-        group_pairs.join(several.withColumnRenamed("group_id", "b"), "b", "left_semi").select("a", "b")
-    )
-    inside = several.select(F.col("group_id").alias("a"), F.col("group_id").alias("b"))
-    expanded = touched.union(inside).distinct().join(one, "a").join(two, "b").filter("lx != ly").select(*ordered(F.col("x"), F.col("y")))
-    return in_buckets.union(expanded).distinct().join(done, ["a", "b"], "left_anti")
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+
+    def buckets(frame: DataFrame, kind: int, token: str, other: Column, side: Column, spot: Column) -> DataFrame:
+        number = F.lit(kind).cast("bigint").alias("kind")
+        return frame.select(number, F.col(token).alias("token"), other.alias("other"), side.alias("side"), spot.alias("spot"), "class_id", "label")
+
+    rows = buckets(large.join(placed, "group_id"), 0, "token", zero, zero, F.col("spot"))
+    # members of groups that are not the group's first class; sizes and prefixes are equal, so every spot is possible
+    same = F.lit(1 << 31)
+    held = placed.groupBy("group_id").agg(F.count("*").alias("k"), F.min("label").alias("x"), F.max("label").alias("y"))
+    inside = buckets(placed.join(held.filter("k > 1 AND x < y").select("group_id"), "group_id"), 1, "group_id", F.col("group_id"), zero, same)
+    # ... and their pairs with members of other groups, only where the two groups hold different labels
+    first, second = (held.select(F.col("group_id").alias(n), F.col("k").alias(f"k_{n}"), F.col("x").alias(f"x_{n}"), F.col("y").alias(f"y_{n}")) for n in "ab")
+    pairs = found.filter("kind = 0").select("a", "b").distinct().join(first, "a").join(second, "b")
+    touched = pairs.filter("greatest(k_a, k_b) > 1 AND least(x_a, x_b) < greatest(y_a, y_b)").select("a", "b")
+    sides = [buckets(touched.join(placed.withColumnRenamed("group_id", n), n), 2, "a", F.col("b"), side, same) for n, side in (("a", one), ("b", one + one))]
+    return crossed(rows.union(inside).union(sides[0]).union(sides[1])).distinct().join(done, ["a", "b"], "left_anti")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
