@@ -181,3 +181,13 @@ def test_scalars_are_repeated(spark, tmp_path):
 def test_list_after_much_white_space(spark, tmp_path):
     (tmp_path / "a.json").write_text(" " * 1200 + '[{"doc_id": 1, "tokens": ["a"]}]')
     assert load_token_records(spark, str(tmp_path / "a.json")).count() == 1
+
+
+def test_csv_documents_keeps_every_character(spark, tmp_path):
+    from tonescale.plans.queries import csv_documents
+
+    texts = ["zażółć gęślą jaźń", "Ελληνικά, \"λόγια\"", "漢字\nかな", "café 😀", "plain"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    read = csv_documents(spark, str(tmp_path)).collect()
+    assert [r.text for r in sorted(read, key=lambda r: r.doc_id)] == texts
