@@ -2,4 +2,54 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+FILTER_AUDIT = r"""
+WITH words AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+           list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    FROM documents
+), judged AS (
+    SELECT d.part,
+           CASE WHEN len(words) < 100 THEN 1 ELSE 0 END AS a,
+           CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 1 ELSE 0 END AS b,
+           CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 1 ELSE 0 END AS c,
+           CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 1 ELSE 0 END AS d,
+           CASE WHEN coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), FALSE) THEN 1 ELSE 0 END AS e,
+           CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) THEN 1 ELSE 0 END AS good,
+           CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL) THEN 1 ELSE 0 END AS toxic
+    FROM words d
+), counters AS (
+    SELECT part, a, b, c, d, e, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY ALL
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+    SELECT p.x || q.x || r.x || s.x || t.x AS filter_order
+    FROM letters p JOIN letters q ON q.x <> p.x JOIN letters r ON r.x NOT IN (p.x, q.x)
+    JOIN letters s ON s.x NOT IN (p.x, q.x, r.x) JOIN letters t ON t.x NOT IN (p.x, q.x, r.x, s.x)
+), steps AS (
+    SELECT filter_order, step, filter_order[step:step] AS x, filter_order[1:step - 1] AS earlier
+    FROM orders, unnest([1, 2, 3, 4, 5]) u(step)
+), met AS (
+    SELECT part, filter_order, step, x, n, good, toxic,
+           CASE x WHEN 'A' THEN a WHEN 'B' THEN b WHEN 'C' THEN c WHEN 'D' THEN d ELSE e END = 1 AS fails,
+           (contains(earlier, 'A') AND a = 1) OR (contains(earlier, 'B') AND b = 1) OR (contains(earlier, 'C') AND c = 1)
+               OR (contains(earlier, 'D') AND d = 1) OR (contains(earlier, 'E') AND e = 1) AS gone,
+           a + b + c + d + e AS failed
+    FROM counters, steps
+), found AS (
+    SELECT part, filter_order, CAST(step AS INTEGER) AS step, x,
+           sum(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END) AS kept,
+           sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END) AS removed,
+           sum(CASE WHEN fails AND gone THEN n ELSE 0 END) AS redundant,
+           sum(CASE WHEN fails AND failed = 1 THEN n ELSE 0 END) AS unique_fails,
+           sum(CASE WHEN fails AND NOT gone THEN good ELSE 0 END) AS good_lost,
+           sum(CASE WHEN fails AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+    FROM met GROUP BY part, filter_order, step, x
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM found
+"""
+
+ORACLES: dict[str, str] = {"op11_filter_audit": FILTER_AUDIT}

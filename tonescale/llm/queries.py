@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tonescale.llm.bpe import encode_decode
 from tonescale.llm.decontaminate import contaminated
+from tonescale.llm.filter_audit import filter_audit
 from tonescale.llm.jaccard_join import jaccard_components
 from tonescale.llm.line_dedup import dedup_lines
 from tonescale.llm.pii import BASE as PII_KINDS
@@ -79,6 +80,10 @@ def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts,
     "op2_line_dedup": line_dedup,
@@ -90,4 +95,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classes": quality_classes,
     "op9_url_filters": url_filter,
     "op10_jaccard_join": jaccard_join,
+    "op11_filter_audit": audit,
 }
