@@ -52,4 +52,30 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
 FROM found
 """
 
-ORACLES: dict[str, str] = {"op11_filter_audit": FILTER_AUDIT}
+HARD_NEGATIVES = """
+WITH moved AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id AS vec_id, r.label = a.label AS same,
+           CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+    FROM moved a JOIN moved r ON a.vec_id <> r.vec_id AND len(a.v) = len(r.v)
+    WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, p.positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+ AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""
+
+ORACLES: dict[str, str] = {
+    "op11_filter_audit": FILTER_AUDIT,
+    "op12_hard_negatives": HARD_NEGATIVES,
+}

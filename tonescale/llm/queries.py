@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tonescale.llm.bpe import encode_decode
 from tonescale.llm.decontaminate import contaminated
 from tonescale.llm.filter_audit import filter_audit
+from tonescale.llm.hard_negatives import hard_negatives
 from tonescale.llm.jaccard_join import jaccard_components
 from tonescale.llm.line_dedup import dedup_lines
 from tonescale.llm.pii import BASE as PII_KINDS
@@ -84,6 +85,13 @@ def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
 
 
+def negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh id has its label moved by one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts,
     "op2_line_dedup": line_dedup,
@@ -96,4 +104,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filters": url_filter,
     "op10_jaccard_join": jaccard_join,
     "op11_filter_audit": audit,
+    "op12_hard_negatives": negatives,
 }
