@@ -75,7 +75,30 @@ FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
 QUALIFY rank <= 3
 """
 
+# All pairs, which the operator finds with the recall that its passes are made for.
+EMBEDDING_DEDUP = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), able AS (
+    SELECT vec_id, label, e FROM v
+    WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM able a JOIN able b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM v
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), least AS (
+    SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.a = v.vec_id) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN least ON least.vec_id = v.vec_id
+"""
+
 ORACLES: dict[str, str] = {
     "op11_filter_audit": FILTER_AUDIT,
     "op12_hard_negatives": HARD_NEGATIVES,
+    "op13_embedding_dedup": EMBEDDING_DEDUP,
 }

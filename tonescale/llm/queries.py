@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tonescale.llm.bpe import encode_decode
 from tonescale.llm.decontaminate import contaminated
+from tonescale.llm.embedding_dedup import vector_components
 from tonescale.llm.filter_audit import filter_audit
 from tonescale.llm.hard_negatives import hard_negatives
 from tonescale.llm.jaccard_join import jaccard_components
@@ -92,6 +93,10 @@ def negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(vectors.withColumn("label", moved))
 
 
+def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_components(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts,
     "op2_line_dedup": line_dedup,
@@ -105,4 +110,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_jaccard_join": jaccard_join,
     "op11_filter_audit": audit,
     "op12_hard_negatives": negatives,
+    "op13_embedding_dedup": embedding_dedup,
 }
