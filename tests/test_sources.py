@@ -1,8 +1,10 @@
 import json
+import random
 
 import pytest
 from conftest import rows
 
+from tonescale.operators import numbering
 from tonescale.sources import documents as source
 from tonescale.sources import lexicon as lexicons
 from tonescale.sources.records import load_predictions, load_token_records
@@ -191,3 +193,46 @@ def test_csv_documents_keeps_every_character(spark, tmp_path):
     spark.createDataFrame([(0, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     read = csv_documents(spark, str(tmp_path)).collect()
     assert [r.text for r in sorted(read, key=lambda r: r.doc_id)] == texts
+
+
+def _records(seed):
+    draw = random.Random(seed)
+    texts = ["plain", "a,b", 'say "yes"', '"', '""', "two\nlines", "\n\n", "crlf\r\ninside", "x" * 300, "", " spaced ", "é“", "\\", "\r\n"]
+    return [(f"l{i}", draw.choice(texts) + draw.choice(["", str(i)])) for i in range(700)]
+
+
+def _as_csv(records, end):
+    return "".join(f'{label},"{text.replace(chr(34), chr(34) * 2)}"{end}' for label, text in records)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("size", [700, 9_000, 10**9])
+def test_quoted_line_breaks_in_splits(spark, tmp_path, end, size):
+    parts = {f"part-{n}-x.csv": _records(n) for n in (9, 10, 100)}
+    for name, records in parts.items():
+        write(tmp_path / name, _as_csv(records, end))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        docs = source.load_documents(spark, str(tmp_path), "csv", encoding="UTF-8", located=True)
+        splits = docs.select("_path", "_start").distinct().count()
+        found = [(r.label, r.text) for r in numbering.assign_doc_ids(docs).orderBy("doc_id").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == [(label, text or None) for records in parts.values() for label, text in records]
+    assert splits > 10 or size > 700
+
+
+def test_quoted_csv_equals_whole_file_reading(spark, tmp_path):
+    records = [(label, text.replace("\r", "")) for label, text in _records(1)]
+    path = write(tmp_path / "a.csv", _as_csv(records, "\n") + "\n\nlast,no quotes")
+    split, whole = (source.read_csv(spark, path, "UTF-8", splits=s) for s in (True, False))
+    assert rows(split) == rows(whole) and split.count() == 701
+
+
+def test_quoted_csv_errors(spark, tmp_path):
+    for i, bad in enumerate(['a,b,c\n', '"only one"\n', 'x,"a\nb",c\n']):
+        path = write(tmp_path / f"{i}.csv", 'ok,"fine\nhere"\n' + bad)
+        with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
+            source.load_documents(spark, path).select("text").collect()
+    with pytest.raises(ValueError, match="encoding"):
+        source.read_csv(spark, str(tmp_path), encoding="UTF-16")

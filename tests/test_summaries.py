@@ -92,6 +92,7 @@ def test_positions_follow_the_key_whatever_the_partitions(spark):
 @pytest.mark.parametrize("limit", [0, 10**6])
 def test_offsets_are_broadcast_up_to_a_bound(spark, monkeypatch, limit):
     monkeypatch.setattr(numbering, "BROADCAST_BLOCKS", limit)
+    monkeypatch.setattr(numbering, "DRIVER_BLOCKS", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         numbered = numbering.with_positions(spark.range(5000, 0, -1), "id")
@@ -99,7 +100,7 @@ def test_offsets_are_broadcast_up_to_a_bound(spark, monkeypatch, limit):
         assert rows(numbered) == sorted(((i, i - 1) for i in range(1, 5001)), key=repr)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert ("BroadcastHashJoin" in plan) == (limit > 0)
+    assert plan.count("BroadcastHashJoin") == 1 + (limit > 0)  # one for the ranges of blocks
 
 
 def test_positions_by_two_columns(spark):
@@ -122,3 +123,20 @@ def test_doc_ids_follow_file_order(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert ids == list(range(1, len(ids) + 1))
     assert found == sorted(found) and len(found) == 6003
+
+
+@pytest.mark.parametrize("at_driver", [0, 10_000])
+def test_doc_ids_take_numbers_in_names_as_numbers(spark, monkeypatch, tmp_path, at_driver):
+    monkeypatch.setattr(numbering, "DRIVER_BLOCKS", at_driver)
+    names = ["part-2-a", "part-10-a", "part-0099999-a", "part-100000-a", "part-100000-b", "part-100000000000000000000000-a"]
+    for name in names:
+        (tmp_path / f"{name}.txt").write_text(f"{name}\n{name} again\n")
+    numbered = numbering.assign_doc_ids(spark.read.text(str(tmp_path))).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.value) for r in numbered] == list(enumerate((t for n in names for t in (n, f"{n} again")), 1))
+
+
+def test_offsets_of_many_blocks_need_no_single_partition(spark, monkeypatch):
+    monkeypatch.setattr(numbering, "DRIVER_BLOCKS", 0)
+    numbered = numbering.with_positions(spark.range(5000, 0, -1), "id")
+    assert "SinglePartition" not in numbered._jdf.queryExecution().executedPlan().toString()
+    assert rows(numbered) == sorted(((i, i - 1) for i in range(1, 5001)), key=repr)

@@ -253,7 +253,7 @@ def csv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")
     ordered = _labeled_texts(spark, sf_dir).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     writers.write_csv(ordered.select("label", "text"), path, header=False, encoding="UTF-8")
-    return numbering.assign_doc_ids(load_documents(spark, path, "csv", encoding="UTF-8"))
+    return numbering.assign_doc_ids(load_documents(spark, path, "csv", encoding="UTF-8", located=True))
 
 
 def _json_parts(labeled: DataFrame) -> DataFrame:

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tonescale.functions.text import strip
+from tonescale.operators.numbering import LOCATION
 from tonescale.schemas import RAW_DOCUMENT
+from tonescale.sources.quoted_csv import read_records
 
 # Column names that hold document text, in order of preference.
 TEXT_COLUMNS = (
@@ -58,21 +60,30 @@ def read_csv(
     encoding: str = CSV_ENCODING,
     multi_line: bool = True,
     pandas_na: bool = False,
+    splits: bool = True,
+    located: bool = False,
 ) -> DataFrame:
     """Headerless ``label,text`` file with doubled quotes.
 
-    ``multi_line`` allows line breaks inside quotes but reads a file as one
-    split; switch it off for large files without such breaks.  A row with more
-    or fewer fields is an error.
+    ``multi_line`` allows line breaks inside quotes.  Such files are read in
+    splits, which takes a second look at the quotes; there, a field that has
+    quotes must be quoted as a whole, and fields keep their line breaks as they
+    are.  ``splits=False`` reads a file as one split, in any encoding.  A row with
+    more or fewer fields is an error.  ``located`` adds where a row begins (the
+    columns of ``numbering.LOCATION``), by which ``assign_doc_ids`` numbers rows.
     """
-    docs = spark.read.schema(RAW_DOCUMENT).csv(
-        path, encoding=encoding, header=False, escape='"', multiLine=multi_line, mode="FAILFAST"
-    )
+    options = {"escape": '"', "mode": "FAILFAST"}
+    if multi_line and splits:
+        row = F.from_csv("record", RAW_DOCUMENT, {**options, "multiLine": "true"})
+        docs = read_records(spark, path, encoding).select(row.alias("row"), *LOCATION).select("row.*", *LOCATION)
+    else:
+        docs = spark.read.schema(RAW_DOCUMENT).csv(path, encoding=encoding, header=False, multiLine=multi_line, **options)
+        if located:
+            place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
+            docs = docs.select("label", "text", *[c.alias(n) for c, n in zip(place, LOCATION)])
     if pandas_na:
-        docs = docs.select(
-            *[F.when(~F.col(c).isin(*NA_LITERALS), F.col(c)).alias(c) for c in docs.columns]
-        )
-    return docs
+        docs = docs.withColumns({c: F.when(~F.col(c).isin(*NA_LITERALS), F.col(c)) for c in ("label", "text")})
+    return docs if located else docs.select("label", "text")
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
