@@ -59,6 +59,17 @@ def documents(spark: SparkSession, sf_dir: str, *carry: str) -> DataFrame:
     return fill_cores(table.select("doc_id", "text", *carry), "doc_id")
 
 
+def gappy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus with gaps: every fifth text is missing, every tenth its first blanks, every tenth its first punctuation."""
+    gap = (
+        F.when(F.col("doc_id") % 5 == 0, F.lit(None).cast("string"))
+        .when(F.col("doc_id") % 10 == 1, F.regexp_extract("text", r"[ \t\r\n]+", 0))
+        .when(F.col("doc_id") % 10 == 6, F.regexp_extract("text", r"[!-/:-@]+", 0))
+        .otherwise(F.col("text"))
+    )
+    return documents(spark, sf_dir).withColumn("text", gap)
+
+
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """True sentiment of the labeled documents."""
     label = (

@@ -137,6 +137,32 @@ _NESTED = ", ".join(
     ]
 )
 
+_GAPPY = r"""docs AS (
+  SELECT doc_id, lang, {0} AS text
+  FROM (SELECT doc_id, lang, CASE WHEN doc_id % 5 = 0 THEN NULL
+                                  WHEN doc_id % 10 = 1 THEN regexp_extract(text, '[ \t\r\n]+')
+                                  WHEN doc_id % 10 = 6 THEN regexp_extract(text, '[!-/:-@]+')
+                                  ELSE text END AS gap FROM documents) {1})"""
+_FILLED = _GAPPY.format("coalesce(gap, 'nan')", "")
+_DROPPED = _GAPPY.format("gap", "WHERE gap IS NOT NULL")
+_COUNTERS = rf"""
+        SELECT (SELECT count(*) FROM docs) AS rows_in,
+               (SELECT count(*) FROM docs WHERE NOT regexp_matches(text, '[^{_WS}]')) AS blank_removed,
+               (SELECT count(*) FROM docs WHERE regexp_matches(text, '[^{_WS}]'))
+                 - (SELECT count(*) FROM kept) AS duplicates_removed,
+               (SELECT count(*) FROM kept) - (SELECT count(*) FROM prepared) AS empty_removed,
+               (SELECT count(*) FROM prepared) AS rows_out"""
+# Stored records: ids of every seventh and tokens of every eleventh are missing.
+_STORED = f"""{_JUDGED},
+stored AS (
+  SELECT CASE WHEN doc_id % 7 = 0 THEN -1 ELSE doc_id END AS doc_id,
+         CASE WHEN doc_id % 11 = 0 THEN 0 ELSE score END AS score,
+         CASE WHEN doc_id % 11 = 0 THEN 0 ELSE positive_hits END AS positive_hits,
+         CASE WHEN doc_id % 11 = 0 THEN 0 ELSE negative_hits END AS negative_hits,
+         CASE WHEN doc_id % 11 = 0 THEN 'neutral' ELSE predicted_sentiment END AS predicted_sentiment,
+         CASE WHEN doc_id % 11 = 0 THEN 0 ELSE token_count END AS token_count
+  FROM scored)"""
+
 ORACLES: dict[str, str] = {
     "sentiment_summary": f"{_SUMMARY}, {len(TEST_LEXICON)}::BIGINT AS lexicon_terms FROM judged",
     "dedup_documents": f"WITH {_DOCS}, {_KEPT} SELECT doc_id, length(text) AS n_chars FROM kept",
@@ -241,4 +267,25 @@ ORACLES: dict[str, str] = {
     "validated_records": _METRICS,
     "json_column_documents": _LABELED,
     "parquet_documents": _LABELED,
+    "gappy_counters": f"WITH {_FILLED}, {_KEPT}, {_cleaned('kept')} {_COUNTERS}",
+    "gappy_documents": f"""WITH {_FILLED}, {_KEPT}, {_cleaned('kept')}
+        SELECT doc_id, cleaned_text, len(tokens) AS token_count FROM prepared""",
+    "gappy_documents_dropped": f"""WITH {_DROPPED}, {_KEPT}, {_cleaned('kept')},
+        {_scored('scored', _lexicon(TEST_LEXICON))} SELECT {_SCORES} FROM scored""",
+    "stored_record_scores": f"{_STORED} SELECT {_SCORES}, token_count FROM stored",
+    "listed_record_summary": f"""{_STORED}
+        SELECT {_TOTAL}, 0::BIGINT AS evaluated_documents, NULL::DOUBLE AS accuracy FROM stored""",
+    "listed_predictions": f"""{_JUDGED}
+        SELECT doc_id, predicted_sentiment, score, token_count, label AS true_label, is_correct
+        FROM judged""",
+    "lexicon_file_summary": f"{_SUMMARY}, {len(TEST_LEXICON)}::BIGINT AS lexicon_terms FROM judged",
+    "suffix_documents": "SELECT doc_id, text FROM documents",
+    "vocabulary_file": f"""{_PREPARED}, ranked AS ({_RANKED})
+        SELECT row_number() OVER (ORDER BY frequency DESC, first_seen) AS rank, token, frequency
+        FROM ranked""",
+    "reducer_reports": f"""{_JUDGED}
+        SELECT 'labeled' AS kind, {_TOTAL}, {_ACCURACY}, 1::BIGINT AS accuracies FROM judged
+        UNION ALL
+        SELECT 'unlabeled' AS kind, {_TOTAL}, NULL::DOUBLE AS accuracy, 0::BIGINT AS accuracies FROM scored""",
+    "chunk_documents": f"""{_CHUNKED} SELECT chunk_id, {_SCORES} FROM chunked""",
 }

@@ -11,7 +11,7 @@ from tonescale.functions.text import strip
 from tonescale.operators import documents as docs_ops
 from tonescale.operators import evaluation, numbering, reconcile, scoring, summaries
 from tonescale.operators import vocabulary as words
-from tonescale.plans import inputs
+from tonescale.plans import inputs, stored
 from tonescale.runtime import scratch_path, write_once
 from tonescale.schemas import CLASSES
 from tonescale.sinks import writers
@@ -22,8 +22,6 @@ from tonescale.streaming.scoring import partials_writer
 Query = Callable[[SparkSession, str], DataFrame]
 
 CHUNK_SIZE = 100
-# A JSON list or object is read by one task, in memory.
-JSON_FILE_BYTES = 32 * 1024 * 1024
 SCORES = ("doc_id", "score", "positive_hits", "negative_hits", "predicted_sentiment")
 COUNTS = ("documents", "positive", "negative", "neutral")
 
@@ -256,22 +254,10 @@ def csv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbering.assign_doc_ids(load_documents(spark, path, "csv", encoding="UTF-8", located=True))
 
 
-def _json_parts(labeled: DataFrame) -> DataFrame:
-    """Documents with a file number, so that no JSON file gets much larger than the bound.
-
-    Ids are unique, so their hashes fill the files evenly.
-    """
-    size = labeled.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    files = F.lit(size // JSON_FILE_BYTES + 1)
-    return labeled.withColumn("part", F.pmod(F.xxhash64("doc_id"), files))
-
-
 def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files holding a JSON list of records each."""
     path = scratch_path(spark, "json")
-    records = F.collect_list(F.struct("doc_id", "label", "text"))
-    lists = _json_parts(_labeled_texts(spark, sf_dir)).groupBy("part").agg(F.to_json(records).alias("value"))
-    lists.write.partitionBy("part").text(path)
+    stored.write_json_lists(_labeled_texts(spark, sf_dir), path, ["doc_id", "label", "text"], "text")
     schema = "doc_id bigint, label string, text string"
     return load_documents(spark, path, "json", schema=schema).select("doc_id", "label", "text")
 
@@ -282,7 +268,7 @@ def json_column_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("doc_id", "label", "text")
     # Lists of structs keep the NULL labels that lists of labels would drop.
     grouped = (
-        _json_parts(_labeled_texts(spark, sf_dir))
+        stored.json_parts(_labeled_texts(spark, sf_dir), "text")
         .groupBy("part")
         .agg(F.collect_list(F.struct(*columns)).alias("records"))
     )
@@ -458,4 +444,4 @@ QUERIES: dict[str, Query] = {
         json_column_documents,
         parquet_documents,
     )
-}
+} | stored.QUERIES
