@@ -1,10 +1,14 @@
 """URL verdicts: parsing and rules against brute force, segments and model by construction."""
 
+import math
+import random
 import re
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from tonescale.llm.url_filters import RULES, Segmenter, fitting_rule, host_and_path, url_verdicts
+from tonescale.llm.url_filters import LONGEST, RULES, SEEDS, fitting_rule, host_and_path, plain_text, split, url_verdicts
 
 URLS = [
     None, "", "no scheme", "http://", "HTTP://EXAMPLE.org/es/1?x#y", "a://b://c/d", "x://Ä.ORG/p#q", "x://h?u/v", "x://h#u/v", "x://org",
@@ -33,15 +37,86 @@ def test_parts_and_rules(spark):
 
 
 def test_segments():
-    segmenter = Segmenter({"casino": 50, "win": 80, "in": 900, "house": 100, "fire": 100, "a": 500, "no": 300})
-    assert segmenter.split("casinowin") == ("casino", "win")
-    assert segmenter.split("firehouse") == ("fire", "house")
-    assert segmenter.split("") == ()
-    best = min(
-        (("x", s) for s in [("a", "no", "in"), ("ano", "in"), ("anoin",)]),
-        key=lambda c: sum(map(segmenter.cost, c[1])),
-    )[1]
-    assert segmenter.split("anoin") == best
+    counts = {"casino": 50, "win": 80, "in": 900, "house": 100, "fire": 100, "a": 500, "no": 300}
+    total = sum(counts.values()) + 1
+
+    def cost(words):
+        return sum(math.log(total) + (2.5 * len(w) if w not in counts else -math.log(counts[w])) for w in words)
+
+    assert split("casinowin", counts, total) == ["casino", "win"]
+    assert split("firehouse", counts, total) == ["fire", "house"]
+    assert split("", counts, total) == []
+    for name in ("anoin", "nofirea", "xxwinx"):
+        ways = [[]]
+        for letter in name:
+            ways = [w for way in ways for w in ([*way, letter], [*way[:-1], way[-1] + letter] if way else None) if w]
+        assert cost(split(name, counts, total)) == min(map(cost, ways))
+
+
+def brute(pages):
+    counts = Counter()
+    parts = [plain(url) for _, url, _ in pages]
+    for (host, *_), (_, _, html) in zip(parts, pages):
+        text = re.sub(r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>", " ", html or "").lower()
+        counts.update(w for w in re.findall("[a-z]+", text) if len(w) <= LONGEST)
+        counts.update(w for label in host.split(".") if "-" in label for w in re.findall("[a-z]+", label) if len(w) <= LONGEST)
+    total = sum(counts.values()) + 1
+    words = [
+        ([w for r in re.findall("[a-z]+", host) for w in split(r, counts, total)], ["/" + w for r in re.findall("[a-z]+", path.lower()) for w in split(r, counts, total)])
+        for host, path, _, _ in parts
+    ]
+    sums = (Counter(), Counter())
+    blocks = [bool(SEEDS & set(names)) for names, _ in words]
+    for block, (names, ways) in zip(blocks, words):
+        sums[not block].update(names + ways)
+    v = len(sums[0] | sums[1])
+    (x, y) = (sum(s.values()) for s in sums)
+    prior = math.log((sum(blocks) + 1) / (len(blocks) - sum(blocks) + 1))
+    found = []
+    for (i, *_), (host, path, rule, decision), (names, ways) in zip(pages, parts, words):
+        score = prior + sum(math.log((sums[0][w] + 1) / (x + v)) - math.log((sums[1][w] + 1) / (y + v)) for w in names + ways)
+        found.append((i, host, path, rule, decision or ("block" if score > 0 else "allow"), " ".join(names + ways), round(score, 6)))
+    return sorted(found, key=repr)
+
+
+def judged(spark, pages):
+    frame = spark.createDataFrame([(*p, "z", 1) for p in pages], "page_id bigint, url string, html string, host string, row int")
+    return sorted(((*r[:6], round(r.score, 6)) for r in url_verdicts(frame).collect()), key=repr)
+
+
+def some_pages():
+    draw = random.Random(4)
+    names = ["casino-win", "casinowin", "freebets", "free-bets", "townhouse", "the-town", "newspage", "cheappills", "x" * 40]
+    texts = [None, "", "the house in the town", "<p>free news<script>casino</script> page", "bets win <b>pills</b> cheap", "<style>a", "a<b", "Ünder THE page"]
+    pages = [(draw.choice([i, None, 7]), f"http://{draw.choice(names)}.{draw.choice(['net', 'com', 'org'])}/{draw.choice(['de', 'en', 'Free-News', 'thepage'])}/{i}", draw.choice(texts)) for i in range(150)]
+    return pages + [(1, None, None), (None, "no scheme", "x"), (1, "x://", "x"), pages[0], pages[0]]
+
+
+def test_equals_brute_force(spark):
+    wanted = brute(some_pages())
+    assert {r[4] for r in wanted} == {"allow", "block"}
+    assert judged(spark, some_pages()) == wanted
+
+
+def test_rare_words_elsewhere_change_no_verdict(spark):
+    pages = some_pages()
+    rare = [(10_000 + i, f"http://townhouse.net/{i}", f"rareword{i:05d}".translate(str.maketrans("0123456789", "abcdefghij"))) for i in range(3)]
+    before, after = ({r[:5] for r in judged(spark, p)} for p in (pages, pages + rare))
+    assert before <= after
+
+
+def test_long_pages():
+    assert plain_text("<script>" * 250_000 + "x").endswith("x")
+    assert plain_text("<" * 2_000_000).count("<") == 2_000_000
+    assert plain_text("a<b>c<script>d</script>e<style>f</style>g<h").split() == ["a", "c", "e", "g<h"]
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.1"])
+def test_blocks_seed_hosts_and_few_others(spark, folder):
+    rows = [r for r in url_verdicts(spark.read.parquet(f"{folder}/pages.parquet")).collect() if r.rule is None]
+    seeded = [r.verdict for r in rows if SEEDS & set(re.findall("[a-z]+", r.host))]
+    others = [r.verdict for r in rows if not SEEDS & set(r.words.split())]
+    assert len(seeded) > 50 and seeded.count("block") >= 0.95 * len(seeded) and others.count("block") <= 0.02 * len(others)
 
 
 def test_verdicts(spark):
