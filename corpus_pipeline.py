@@ -17,6 +17,7 @@ from tonescale.runtime import write_once
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 TOKENIZER = "byte_bpe_50k.json"
+ROW = "__row"  # no column of documents
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,12 +38,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of each component whose id is the component's; documents without words stay.
+    """The document with the smallest id of each component; documents without words stay.
 
-    Rows that share an id stay or go together, and rows without id stay.
+    Components are those of rows, so one row of each stays even where ids repeat
+    or are missing; a row without id stays only where no other of its component has one.
     """
-    found = jaccard_components(docs).filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    rows = write_once(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    found = jaccard_components(rows.select(F.col(ROW).alias("doc_id"), "text"))
+    placed = rows.select(ROW, "doc_id").join(found.select(F.col("doc_id").alias(ROW), "component_id"), ROW)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW))[ROW].alias(ROW)
+    kept = placed.groupBy("component_id").agg(first).select(ROW)
+    return rows.join(kept, ROW, "left_semi").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
