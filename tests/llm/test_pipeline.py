@@ -69,3 +69,14 @@ def test_bpe(stages):
         ids = library.encode(text, add_special_tokens=False).ids
         wanted[d, len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False))] += 1
     assert Counter(map(tuple, stages[5].collect())) == wanted
+
+
+def test_near_duplicates_are_rows(spark):
+    """Repeated ids stand for other texts, too, and rows without id are rows of their own."""
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    data = [(3, a), (7, a), (7, b), (9, b + " z"), (2, a), (None, b), (None, "c d e f g h"), (None, "c d e f g h"), (5, None), (5, ""), (5, None)]
+    docs = spark.createDataFrame([(*d, 1) for d in data], "doc_id bigint, text string, component_id int")
+    kept = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.select("doc_id", "text").collect()), key=repr) == sorted([(2, a), (7, b), (None, "c d e f g h"), (5, None), (5, ""), (5, None)], key=repr)
+    assert corpus_pipeline.near_duplicates(spark, docs.limit(0), FOLDER).count() == 0
