@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from conftest import rows
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from tonescale.operators import documents as docs_ops
 from tonescale.operators import scoring
 
-FORMS = ("literal", "broadcast", "shuffled")
+FORMS = ("literal", "bucketed", "broadcast", "shuffled")
 EXPECTED = [
     (1, 2, 2, 0, "positive"),
     (3, 2, 2, 0, "positive"),
@@ -113,7 +114,7 @@ def test_repeated_and_missing_ids_at_every_lexicon_size(spark, terms):
     weights = {"profit": 1, **{f"t{i}": -1 for i in range(terms - 1)}}
     lexicon = scoring.lexicon_table(spark, weights)
     expected = sorted(((-1 if i is None else i), sum((t or "").lower() == "profit" for t in tokens or [])) for i, tokens in data)
-    for form in ("auto", "broadcast", "shuffled"):
+    for form in ("auto", "bucketed", "broadcast", "shuffled"):
         assert rows(docs.transform(scoring.score_documents(lexicon, form)), "doc_id", "score") == expected
 
 
@@ -128,7 +129,7 @@ def test_corpus_of_repeated_and_missing_ids_at_every_lexicon_size(spark, terms):
     lexicon = scoring.lexicon_table(spark, weights)
     t0 = -1 if terms > 1 else 0
     expected = [(1, 1, 1, "a"), (1, 2, 3, "c"), (-1, 0, 1, "d"), (-1, t0, 2, None), (2, 0, 1, "f"), (4, 1, 2, "i")]
-    for form in ("auto", "broadcast", "shuffled"):
+    for form in ("auto", "bucketed", "broadcast", "shuffled"):
         scored = scoring.score_corpus(docs, lexicon, form, carry=["tag"])
         assert rows(scored, "doc_id", "score", "token_count", "tag") == sorted(expected, key=repr)
 
@@ -158,7 +159,7 @@ def test_form_follows_the_size_of_the_lexicon(spark, monkeypatch):
         return scoring.choose_form(scoring.lexicon_table(spark, {f"t{i}": 1 for i in range(terms)}))[0]
 
     assert form_of(scoring.LITERAL_TERMS) == "literal"
-    assert form_of(scoring.LITERAL_TERMS + 1) == "broadcast"
+    assert form_of(scoring.LITERAL_TERMS + 1) == "bucketed"
     monkeypatch.setattr(scoring, "BROADCAST_BYTES", 1000)
     assert form_of(scoring.LITERAL_TERMS + 1) == "shuffled"
     large = scoring.lexicon_table(spark, {f"t{i}": 1 for i in range(scoring.LITERAL_TERMS + 1)})
@@ -166,7 +167,7 @@ def test_form_follows_the_size_of_the_lexicon(spark, monkeypatch):
     monkeypatch.setattr(scoring, "LITERAL_TERMS_ON_REQUEST", scoring.LITERAL_TERMS)
     with pytest.raises(ValueError):
         scoring.choose_form(large, "literal")
-    for form in ("broadcast", "fast"):
+    for form in ("bucketed", "broadcast", "fast"):
         with pytest.raises(ValueError):
             scoring.choose_form(large, form)
 
@@ -182,3 +183,29 @@ def test_lexicon_hits(edge_documents, edge_lexicon, monkeypatch, limit):
         ("rose", 1, 2, 2),
         ("up", 1, 1, 1),
     ]
+
+
+def test_bucketed_form_with_200_000_terms(spark):
+    terms = spark.range(200_000).selectExpr("concat('T', id) AS token", "id % 7 - 3 AS weight")
+    docs = spark.range(300).selectExpr("id AS doc_id", "transform(sequence(0, 40), i -> concat('t', (id * 977 + i * 5003) % 230000)) AS tokens")
+    found = [rows(docs.transform(scoring.score_documents(terms, form)), *COLUMNS) for form in ("bucketed", "broadcast")]
+    assert found[0] == found[1] and any(r[1] for r in found[0])
+
+
+def test_bucketed_form_keeps_the_lexicon_out_of_the_rows(spark):
+    """The buckets are used inside the lambda, as a subquery, in a plan without join or shuffle of documents."""
+    docs = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string").selectExpr("doc_id", "split(text, ' ') AS tokens")
+    lexicon = scoring.lexicon_table(spark, {f"t{i}": 1 for i in range(200)})
+    plan = docs.transform(scoring.score_documents(lexicon))._jdf.queryExecution().executedPlan().toString()
+    documents = re.sub(r"(?m)^[ :|]*[:|].*$", "", plan)  # without the lines of the subquery's own plan
+    assert "_buckets" not in plan and "Subquery" in plan
+    assert "Exchange" not in documents and "Join" not in documents
+
+
+def test_a_transform_checks_its_lexicon_once(spark, monkeypatch):
+    calls = []
+    check = scoring.checked_lexicon
+    monkeypatch.setattr(scoring, "checked_lexicon", lambda *a: calls.append(1) or check(*a))
+    docs = spark.createDataFrame([(1, ["that"])], "doc_id bigint, tokens array<string>")
+    score = scoring.score_documents(scoring.lexicon_table(spark, {"that": 1}))
+    assert [rows(docs.transform(score), "score") for _ in range(2)] == [[(1,)]] * 2 and len(calls) == 1

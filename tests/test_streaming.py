@@ -1,3 +1,4 @@
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -26,6 +27,17 @@ def test_stream_equals_batch(spark, edge_documents, edge_lexicon, tmp_path):
     assert rows(spark.table("scored_stream"), *COLUMNS) == rows(batch, *COLUMNS)
 
 
+@pytest.mark.parametrize("terms", [1, 129, 20_000, 200_000])
+def test_stream_has_no_bound_of_terms(spark, edge_documents, tmp_path, terms):
+    fillers = spark.range(terms - 1).selectExpr("concat('t', id) AS token", "-1L AS weight")
+    lexicon = scoring.lexicon_table(spark, {"profit": 1}).union(fillers)
+    stream = score_stream(arriving(spark, edge_documents, tmp_path / "in", 2), lexicon)
+    out = str(tmp_path / "out")
+    stream.writeStream.trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "state")).start(out, "parquet").awaitTermination()
+    batch = docs_ops.clean_documents(edge_documents).transform(scoring.score_documents(lexicon))
+    assert rows(spark.read.parquet(out), *COLUMNS) == rows(batch, *COLUMNS)
+
+
 def test_partials_survive_restarts(spark, edge_documents, edge_lexicon, tmp_path):
     stream = arriving(spark, edge_documents, tmp_path / "in", 4)
     out, state = str(tmp_path / "partials"), str(tmp_path / "state")

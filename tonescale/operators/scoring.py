@@ -1,10 +1,13 @@
 """Lexicon scores of documents.
 
-Three ways to look tokens up, chosen by the size of the lexicon:
+Four ways to look tokens up, chosen by the size of the lexicon:
 
 * literal - a small lexicon becomes part of the expression.  No join, no
   shuffle, runs on streams.  A word costs one hash-set test.
-* broadcast - a lexicon of checked size is broadcast to the exploded tokens.
+* bucketed - a lexicon of checked size becomes one row, an array of small maps
+  indexed by the token's hash.  The cost of a token does not depend on the
+  number of terms; no explode, no shuffle, runs on streams.
+* broadcast - on request: such a lexicon is joined to the exploded tokens.
 * shuffled - a larger lexicon is joined by shuffle; words so frequent that
   they would burden one task are resolved by a bounded broadcast first.
 """
@@ -94,11 +97,11 @@ def choose_form(lexicon: DataFrame, form: str = "auto") -> tuple[str, dict[str,
             return "literal", weights
         if form == "literal":
             raise ValueError(f"the literal form takes at most {limit} terms")
-        return ("broadcast" if lexicon_bytes(lexicon) <= BROADCAST_BYTES else "shuffled"), None
-    if form not in ("broadcast", "shuffled"):
+        return ("bucketed" if lexicon_bytes(lexicon) <= BROADCAST_BYTES else "shuffled"), None
+    if form not in ("bucketed", "broadcast", "shuffled"):
         raise ValueError(f"unknown scoring form: {form}")
-    if lexicon_bytes(lexicon) > BROADCAST_BYTES and form == "broadcast":
-        raise ValueError(f"the broadcast form takes a lexicon of at most {BROADCAST_BYTES} bytes")
+    if lexicon_bytes(lexicon) > BROADCAST_BYTES and form != "shuffled":
+        raise ValueError(f"the {form} form takes a lexicon of at most {BROADCAST_BYTES} bytes")
     return form, None
 
 
@@ -160,6 +163,50 @@ def literal_scores(docs: DataFrame, weights: dict[str, int], fold: bool = True)
     ).drop("_hits", *counters.values())
 
 
+# --- bucketed form ----------------------------------------------------------
+
+
+def lexicon_buckets(lexicon: DataFrame, buckets: int) -> DataFrame:
+    """One row, one column: an array of ``buckets`` maps; a term is in the map of its hash."""
+    at = F.pmod(F.xxhash64("token"), F.lit(buckets)).alias("id")
+    filled = lexicon.groupBy(at).agg(F.collect_list(F.struct("token", "weight")).alias("terms"))
+    every = lexicon.sparkSession.range(buckets).join(filled, "id", "left")
+    listed = F.array_sort(F.collect_list(F.struct("id", F.coalesce("terms", F.array()).alias("terms"))))
+    return every.agg(F.transform(listed, lambda b: F.map_from_entries(b["terms"])).alias("buckets"))
+
+
+def bucketed_scores(docs: DataFrame, lexicon: DataFrame, fold: bool = True) -> DataFrame:
+    """Add the score columns to documents with ``tokens``.
+
+    The row of buckets is a scalar subquery, so it is computed once a query (once a
+    micro-batch on streams).  Catalyst puts it where it is used, inside the lambda, so
+    that no document carries it as a column.  It does so if no column below is used
+    twice; hence tokens and their weights come from one expression, with the tokens
+    as the only member of a list bound to the lambda's variable.
+    """
+    buckets = 1 << max(0, (lexicon.count() // 2).bit_length())
+    known = docs.select("*", lexicon_buckets(lexicon, buckets).scalar().alias("_buckets"))
+
+    def weight(token: Column) -> Column:
+        word = F.lower(token) if fold else token
+        return F.try_element_at(F.get(F.col("_buckets"), F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int")), word)
+
+    def weighed(tokens: Column) -> Column:
+        weights = F.filter(F.transform(tokens, weight), lambda w: w != 0)
+        return F.struct(tokens.alias("tokens"), weights.alias("weights"))
+
+    tokens = F.coalesce(F.col("tokens"), F.array().cast("array<string>"))
+    pair = F.transform(F.array(tokens), weighed)[0].alias("_pair")
+    paired = known.select(*[name for name in docs.columns if name != "tokens"], pair)
+    weights = F.col("_pair.weights")
+    return paired.select(
+        *[F.col("_pair.tokens").alias(name) if name == "tokens" else name for name in docs.columns],
+        F.aggregate(weights, F.lit(0).cast("bigint"), lambda total, w: total + w).alias("score"),
+        F.size(F.filter(weights, lambda w: w > 0)).cast("bigint").alias("positive_hits"),
+        F.size(F.filter(weights, lambda w: w < 0)).cast("bigint").alias("negative_hits"),
+    )
+
+
 # --- join forms -------------------------------------------------------------
 
 
@@ -262,13 +309,17 @@ def score_documents(
 
     A ``label``, where there is one, is added normalized as ``true_label``.
     Use as ``docs.transform(score_documents(lexicon))`` on a frame with
-    ``doc_id`` and ``tokens``.  The literal form is stateless and also takes
-    streams.  Repeated and missing ids are fine in every form: the join forms
-    score each distinct list of tokens once and join the scores back on it.
+    ``doc_id`` and ``tokens``.  The literal and the bucketed form are stateless
+    and also take streams.  Repeated and missing ids are fine in every form: the
+    join forms score each distinct list of tokens once and join the scores back on
+    it.  The lexicon is checked at the first use.
     """
+    checked: list[tuple] = []
 
     def apply(docs: DataFrame) -> DataFrame:
-        terms, chosen, weights = checked_lexicon(lexicon, form)
+        if not checked:
+            checked.append(checked_lexicon(lexicon, form))
+        terms, chosen, weights = checked[0]
         docs = docs.withColumns(
             {
                 "doc_id": F.coalesce(F.col("doc_id"), F.lit(-1).cast("bigint")),
@@ -277,6 +328,8 @@ def score_documents(
         )
         if chosen == "literal":
             scored = literal_scores(docs, weights, fold)
+        elif chosen == "bucketed":
+            scored = bucketed_scores(docs, terms, fold)
         else:
             scorer = broadcast_scores if chosen == "broadcast" else shuffled_scores
             keyed = docs.withColumn("_key", F.sha2(F.to_json(F.struct("tokens")), 256))
@@ -321,9 +374,11 @@ def score_corpus(
         rows = filled.select("doc_id", *carry, key.alias("text_key"))
         unique = keyed_copies(rows, of_first=carry).join(scores, "text_key")
     else:
+        sized = read.withColumn("token_count", F.size("tokens").cast("bigint"))
         if chosen == "literal":
-            sized = read.withColumn("token_count", F.size("tokens").cast("bigint"))
             scored = literal_scores(sized, weights, fold=False)
+        elif chosen == "bucketed":
+            scored = bucketed_scores(sized, lexicon, fold=False)
         else:
             scored = broadcast_scores(read, lexicon, fold=False, carry=["text_key", *carry], copies=True)
         narrow = scored.select("doc_id", "text_key", *numbers, *carry)

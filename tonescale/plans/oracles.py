@@ -198,9 +198,12 @@ ORACLES: dict[str, str] = {
         FROM lexicon l JOIN words w ON l.token = w.token GROUP BY ALL""",
     "scored_documents": f"{_JUDGED} SELECT {_SCORES} FROM scored",
     "scored_documents_join": f"{_JUDGED} SELECT {_SCORES} FROM scored",
-    "scored_documents_shuffled": f"""{_PREPARED},
+    **dict.fromkeys(
+        ("scored_documents_bucketed", "scored_documents_shuffled"),
+        f"""{_PREPARED},
         {_scored('scored', 'SELECT DISTINCT token, length(token) % 5 - 2 AS weight FROM words')}
         SELECT {_SCORES} FROM scored""",
+    ),
     "mapper_results": f"""{_JUDGED}
         SELECT doc_id, token_count, score, predicted_sentiment, label AS true_label FROM judged""",
     "reducer_summary": f"{_JUDGED} SELECT {_TOTAL}, {_ACCURACY} FROM judged",

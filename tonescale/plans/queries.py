@@ -127,6 +127,13 @@ def scored_documents_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(*SCORES)
 
 
+def scored_documents_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The form without join for lexicons of many terms, with a corpus-sized lexicon."""
+    lexicon = write_once(inputs.vocabulary_lexicon(_prepared(spark, sf_dir)), "lexicon")
+    scored = scoring.score_corpus(inputs.documents(spark, sf_dir), lexicon, form="bucketed")
+    return scored.select(*SCORES)
+
+
 def scored_documents_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The form for lexicons beyond broadcasting, with a corpus-sized lexicon."""
     lexicon = write_once(inputs.vocabulary_lexicon(_prepared(spark, sf_dir)), "lexicon")
@@ -415,6 +422,7 @@ QUERIES: dict[str, Query] = {
         lexicon_hits,
         scored_documents,
         scored_documents_join,
+        scored_documents_bucketed,
         scored_documents_shuffled,
         mapper_results,
         reducer_summary,

@@ -12,17 +12,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tonescale.operators.documents import clean_documents
-from tonescale.operators.scoring import score_documents
+from tonescale.operators.scoring import score_documents, small_lexicon
 from tonescale.operators.summaries import partial_summary
 
 
 def score_stream(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Scored documents of a stream with ``doc_id`` and ``text``.
 
-    The result is a stream, so the lexicon is part of the expression and has a
-    bound; ``scored_writer`` takes a lexicon of any size.
+    The result is a stream, so the form is one without join: literal, or bucketed
+    with a lexicon up to the bound of a broadcast.  ``scored_writer`` takes any size.
     """
-    return clean_documents(docs).transform(score_documents(lexicon, form="literal", fold=False))
+    weights = small_lexicon(lexicon)
+    form = "bucketed" if weights is None else "literal"
+    return clean_documents(docs).transform(score_documents(lexicon, form=form, fold=False))
 
 
 def scored_writer(docs: DataFrame, lexicon: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
