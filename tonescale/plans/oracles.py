@@ -292,3 +292,10 @@ ORACLES: dict[str, str] = {
         SELECT 'unlabeled' AS kind, {_TOTAL}, NULL::DOUBLE AS accuracy, 0::BIGINT AS accuracies FROM scored""",
     "chunk_documents": f"""{_CHUNKED} SELECT chunk_id, {_SCORES} FROM chunked""",
 }
+# Stored state and stored scorings give what a full run gives.
+ORACLES |= {
+    "batched_vocabulary": ORACLES["ranked_vocabulary"],
+    "batched_summary": ORACLES["corpus_summary"],
+    "batched_sentiment": ORACLES["merged_summary"],
+    "reconcile_stored": ORACLES["reconcile_scores"],
+}

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonescale.operators import documents as docs_ops
-from tonescale.operators import evaluation, numbering, scoring, summaries
+from tonescale.operators import corpus_state, evaluation, numbering, reconcile, scoring, summaries
 from tonescale.operators import vocabulary as words
 from tonescale.plans import inputs
-from tonescale.runtime import scratch_path
+from tonescale.runtime import scratch_path, write_once
 from tonescale.sinks import writers
 from tonescale.sources.documents import load_documents
 from tonescale.sources.lexicon import load_lexicon
@@ -160,6 +160,41 @@ def chunk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).json(path, mode="FAILFAST")
 
 
+# --- state that grows by batches ----------------------------------------------------
+
+
+def _stored_batches(spark: SparkSession, sf_dir: str) -> str:
+    """Four batches of the corpus; the third is first stored with half of its documents, then again."""
+    path = scratch_path(spark, "corpus-state")
+    prepared = write_once(docs_ops.prepare_documents(inputs.documents(spark, sf_dir)).select("doc_id", "tokens"), "prepared")
+    labels, score = inputs.labels(spark, sf_dir), scoring.score_documents(inputs.test_lexicon(spark), fold=False)
+    for batch, part in ((2, "doc_id % 8 = 2"), (0, "doc_id % 4 = 0"), (1, "doc_id % 4 = 1"), (2, "doc_id % 4 = 2"), (3, "doc_id % 4 = 3")):
+        docs = prepared.filter(part)
+        corpus_state.store_batch(docs, path, batch)
+        corpus_state.store_scores(summaries.attach_labels(docs.transform(score), labels), path, batch)
+    return path
+
+
+def batched_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_state.stored_vocabulary(spark, _stored_batches(spark, sf_dir))
+
+
+def batched_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_state.stored_summary(spark, _stored_batches(spark, sf_dir))
+
+
+def batched_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_state.stored_sentiment(spark, _stored_batches(spark, sf_dir))
+
+
+def reconcile_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stored scorings by two lexicons, compared by checksums first."""
+    docs, sides = inputs.documents(spark, sf_dir), []
+    for name, lexicon in (("left", inputs.test_lexicon(spark)), ("right", inputs.revised_lexicon(spark))):
+        sides.append(write_once(scoring.score_corpus(docs, lexicon).select("doc_id", "score", "predicted_sentiment"), name))
+    return reconcile.reconcile_by_digest(*sides)
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -174,5 +209,9 @@ QUERIES = {
         vocabulary_file,
         reducer_reports,
         chunk_documents,
+        batched_vocabulary,
+        batched_summary,
+        batched_sentiment,
+        reconcile_stored,
     )
 }
