@@ -97,7 +97,32 @@ SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.a = v.vec_id) AS n_links,
 FROM v JOIN least ON least.vec_id = v.vec_id
 """
 
+JACCARD_JOIN = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+                        WHEN len(w) < 5 THEN ['short ' || array_to_string(w, ' ')]
+                        ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+    FROM words
+), shingles AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM sets
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, (SELECT min(b) FROM reach r WHERE r.a = s.doc_id) AS component_id
+FROM sets s
+"""
+
 ORACLES: dict[str, str] = {
+    "op10_jaccard_join": JACCARD_JOIN,
     "op11_filter_audit": FILTER_AUDIT,
     "op12_hard_negatives": HARD_NEGATIVES,
     "op13_embedding_dedup": EMBEDDING_DEDUP,
