@@ -134,3 +134,24 @@ def test_second_round_compares_different_labels_only(spark, monkeypatch, seed, b
     )
     assert sorted(map(tuple, pairs.collect())) == sorted(expected)
     assert (1, 3, 3) not in set(map(tuple, dealt)) and (2, 0, 3) not in set(map(tuple, dealt))
+
+
+def test_sketches_leave_out_no_pair_that_links():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    sets, base = [], rng.integers(0, 1 << 63, 9000, dtype=np.uint64)
+    for size in (1, 4, 15, 16, 17, 150, 9000):
+        for _ in range(12):
+            kept = base[:size][rng.random(size) < 0.9]
+            sets.append(np.unique(np.concatenate([kept, rng.integers(0, 1 << 63, rng.integers(1, 2 + size // 6), dtype=np.uint64)])))
+    sizes = np.array([len(s) for s in sets])
+    i, j = (x.ravel() for x in np.indices((len(sets), len(sets))))
+    common = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)])
+    similar = 100 * common >= 80 * (sizes[i] + sizes[j] - common)
+    sketches = [jaccard_join.sketch(s) for s in sets]
+    allowed = jaccard_join.linkable(sketches, sizes, i, j)
+    assert allowed[similar].all() and not allowed.all()
+    far = 100 * common < 70 * (sizes[i] + sizes[j] - common)
+    assert allowed[far & (sizes[i] > 100) & (sizes[j] > 100)].sum() == 0
+    assert jaccard_join.linkable([b"", b"\xff" * 8], np.array([3, 90]), np.array([0]), np.array([1])).all()

@@ -10,12 +10,13 @@ their first n - ceil(0.8 n) + 1.  The order puts shingles of many documents last
 2. Documents with equal sets form a class, classes with equal prefix and size a
    group.  Only groups are joined: by prefix shingle, filtered by size and by the
    overlap that their positions leave possible.
-3. Groups expand to their classes.  Counts of shingles by part of their range bound
-   a pair's overlap; what passes is verified on whole sets.  Large
+3. Groups expand to their classes.  Bits that only one of two sets holds bound a
+   pair's overlap; what passes is verified on whole sets.  Large
    buckets first link to their best members alone; what these links leave in
-   different components is then compared in blocks.  Nothing is skipped but
-   pairs already connected.
-4. Components come from the verified links.
+   different components is then compared in blocks, and only pairs that pass the
+   bits leave a block.  Nothing is skipped but pairs already connected.
+4. Components come from the verified links; those of the second comparison join
+   components of the first.
 
 Equality of shingles and sets is that of 64-bit numbers.
 """
@@ -24,14 +25,13 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tonescale.llm.batches import pairs as rows_of
 from tonescale.llm.batches import texts_of
 from tonescale.llm.components import connected
 from tonescale.llm.shingles import digest, shingle_set
@@ -42,6 +42,8 @@ COMMON = 16
 MOST_COMMON, MOST_BITS = 1_000_000, 1 << 28
 TOKENS_PER_RANGE = 2_000_000
 SMALL, PIVOTS, BLOCK = 48, 8, 1024
+#: Most bits of a sketch, and most bytes of sketches compared at once.
+SKETCH_BITS, COMPARED = 1 << 15, 1 << 24
 
 I64 = pa.int64()
 
@@ -273,8 +275,8 @@ def has_partner(spots: np.ndarray) -> np.ndarray:
 
 
 def _whole(batches: Iterator[pa.RecordBatch], columns: int) -> list[np.ndarray]:
-    """A partition's columns of numbers."""
-    held = [[c.to_numpy() for c in batch.columns] for batch in batches]
+    """A partition's columns of numbers, which come first."""
+    held = [[c.to_numpy() for c in batch.columns[:columns]] for batch in batches]
     return [np.concatenate([h[i] for h in held]) for i in range(columns)] if held else [np.empty(0, np.int64)] * columns
 
 
@@ -320,24 +322,26 @@ TRIANGLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of classes in different components, cell by cell.
+    """Pairs of classes in different components that places and sketches allow, cell by cell.
 
     A cell compares a block of the members outside the bucket's largest component
     (``minor``) with a block of all members.  Members of one ``side`` other than 0
     are not compared.
     """
-    kind, token, other, low, high, minor, side, spots, ids, labels = _whole(batches, 10)
+    held = list(batches)
+    kind, token, other, low, high, minor, side, spots, ids, labels = _whole(iter(held), 10)
+    sketches = [blob or b"" for batch in held for blob in batch.column("sketch").to_pylist()]
     order = np.lexsort((high, low, other, token, kind))
     keys = np.stack([kind, token, other, low, high])[:, order]
-    minor, side, spots, ids, labels = (c[order] for c in (minor, side, spots, ids, labels))
     new = (keys[:, 1:] != keys[:, :-1]).any(axis=0)
-    for part in np.split(np.arange(len(order)), np.flatnonzero(new) + 1):
+    for part in np.split(order, np.flatnonzero(new) + 1):
         left, right = part[minor[part] == 1], part[minor[part] == 0]
-        i, j = (x.ravel() for x in np.meshgrid(left, right))
-        fits = (labels[i] != labels[j]) & ((side[i] == 0) | (side[i] != side[j]))
-        i, j = i[fits], j[fits]
-        fits = possible(spots[i], spots[j])
-        a, b = _unique_pairs(ids[i[fits]], ids[j[fits]])
+        fits = labels[left][:, None] != labels[right]
+        fits &= (side[left][:, None] == 0) | (side[left][:, None] != side[right])
+        fits &= possible(spots[left][:, None], spots[right])
+        i, j = (rows[at] for rows, at in zip((left, right), np.nonzero(fits)))
+        close = linkable(sketches, spots >> 31, i, j)
+        a, b = _unique_pairs(ids[i[close]], ids[j[close]])
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
@@ -354,32 +358,68 @@ def crossed(rows: DataFrame) -> DataFrame:
     apart = by_label.groupBy(*key).agg(F.sum("m").alias("all"), largest.alias("largest"), F.count("*").alias("n")).filter("n > 1")
     minors = F.ceil((F.col("all") - F.col("largest.m")) / BLOCK).cast("bigint")
     bounds = apart.select(*key, F.col("largest.label").alias("major"), minors.alias("lows"), F.ceil(F.col("all") / BLOCK).cast("bigint").alias("highs"))
-    placed = rows.join(bounds, key)
-    zero, hashed = F.lit(0).cast("bigint"), F.xxhash64("class_id", "side")
-    columns = ["side", "spot", "class_id", "label"]
-    low, high = F.pmod(hashed, F.col("lows")).alias("low"), F.pmod(hashed, F.col("highs")).alias("high")
-    outside = placed.filter("label != major").select(*key, low, F.explode(F.sequence(zero, F.col("highs") - 1)).alias("high"), F.lit(1).cast("bigint").alias("minor"), *columns)
-    everyone = placed.select(*key, F.explode(F.sequence(zero, F.col("lows") - 1)).alias("low"), high, zero.alias("minor"), *columns)
-    return outside.union(everyone).repartition(*key, "low", "high").mapInArrow(_cross, "a bigint, b bigint")
+    zero, one, hashed = F.lit(0).cast("bigint"), F.lit(1).cast("bigint"), F.xxhash64("class_id", "side")
+    low, high = F.pmod(hashed, F.col("lows")), F.pmod(hashed, F.col("highs"))
 
+    def cells(count: str, cell: Callable[[Column], list[Column]]) -> Column:
+        return F.transform(F.sequence(zero, F.col(count) - 1), lambda i: F.struct(*(c.alias(n) for c, n in zip(cell(i), ("low", "high", "minor")))))
 
-# ---- sketches ------------------------------------------------------------------------------
+    everyone = cells("lows", lambda i: [i, high, zero])
+    dealt = F.when(F.col("label") == F.col("major"), everyone).otherwise(F.concat(everyone, cells("highs", lambda i: [low, i, one])))
+    columns = ["side", "spot", "class_id", "label", "sketch"]
+    placed = rows.join(bounds, key).select(*key, F.explode(dealt).alias("cell"), *columns)
+    return placed.select(*key, "cell.*", *columns).repartition(*key, "low", "high").mapInArrow(_cross, "a bigint, b bigint")
 
 
-def sketch(shingles: np.ndarray) -> bytes:
-    """How many shingles fall in each of equal parts of the numbers, about four to eight a part."""
-    bits = max(3, (len(shingles) // 4).bit_length() - 1)
-    return np.minimum(np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+# ---- sketches ------------------------------------------------------------------------------
 
 
-def may_link(one: bytes, size_a: int, two: bytes, size_b: int) -> bool:
-    """Whether the parts, none with more in common than its smaller count, allow a similarity of 0.8."""
-    a, b = np.frombuffer(one, np.uint8), np.frombuffer(two, np.uint8)
-    if a.max() == 255 or b.max() == 255:
-        return True
-    parts = min(len(a), len(b))
-    a, b = (x.reshape(parts, -1).sum(axis=1, dtype=np.int64) for x in (a, b))
-    return bool(9 * np.minimum(a, b).sum() >= 4 * (size_a + size_b))
+def sketch(shingles: np.ndarray) -> bytes:
+    """A bit for the last digits of every shingle, among four to eight bits a shingle and at most SKETCH_BITS."""
+    bits = min(SKETCH_BITS, max(64, 1 << (4 * len(shingles) - 1).bit_length()))
+    marks = np.zeros(bits, np.uint8)
+    marks[(shingles & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(marks).tobytes()
+
+
+def folded(marks: np.ndarray, width: int) -> np.ndarray:
+    """Rows of bits brought down to ``width`` words: fewer last digits."""
+    while marks.shape[1] > width:
+        half = marks.shape[1] // 2
+        marks = marks[:, :half] | marks[:, half:]
+    return marks
+
+
+def overlap_allows(a: np.ndarray, size_a: np.ndarray, b: np.ndarray, size_b: np.ndarray) -> np.ndarray:
+    """Whether rows of bits allow a similarity of 0.8: a bit without its like is a shingle without its like, at least."""
+    own_a, own_b = (np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64) for x, y in ((a, b), (b, a)))
+    return 9 * np.minimum(size_a - own_a, size_b - own_b) >= 4 * (size_a + size_b)
+
+
+def linkable(sketches: list[bytes], sizes: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs (i, j) of members their sketches allow; a member without sketch may link with any."""
+    keep = np.ones(len(i), bool)
+    if not len(i):
+        return keep
+    used = np.unique(np.concatenate([i, j]))
+    lengths = np.zeros(len(sketches), np.int64)
+    lengths[used] = [len(sketches[k]) for k in used]
+    place, marks = np.zeros(len(sketches), np.int64), {}
+    for length in np.unique(lengths[used]):
+        own = used[lengths[used] == length]
+        place[own] = np.arange(len(own))
+        marks[length] = np.frombuffer(b"".join(sketches[k] for k in own), np.uint64).reshape(len(own), -1)
+    of_pair = np.stack([lengths[i], lengths[j]])
+    for one, two in np.unique(of_pair, axis=1).T:
+        width = min(one, two) // 8
+        if not width:
+            continue
+        first, second = folded(marks[one], width), folded(marks[two], width)
+        at = np.flatnonzero((of_pair[0] == one) & (of_pair[1] == two))
+        for pairs in np.split(at, range(0, len(at), max(1, COMPARED // (8 * width)))[1:]):
+            a, b = i[pairs], j[pairs]
+            keep[pairs] = overlap_allows(first[place[a]], sizes[a], second[place[b]], sizes[b])
+    return keep
 
 
 def sketched(candidates: DataFrame, classes: DataFrame) -> DataFrame:
@@ -387,7 +427,10 @@ def sketched(candidates: DataFrame, classes: DataFrame) -> DataFrame:
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [may_link(*row) for row in rows_of(batch.select(["sketch_a", "n_a", "sketch_b", "n_b"]))]
+            sketches = batch.column("sketch_a").to_pylist() + batch.column("sketch_b").to_pylist()
+            sizes = np.concatenate([batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()])
+            rows = np.arange(batch.num_rows)
+            keep = linkable(sketches, sizes, rows, rows + batch.num_rows)
             kept = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"])
             yield kept.filter(pa.array(keep, pa.bool_()))
 
@@ -473,10 +516,15 @@ def ordered(a: Column, b: Column) -> tuple[Column, Column]:
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
-def second_round(found: DataFrame, members: DataFrame, labels: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs of classes that the first links leave apart and that were not compared."""
+def second_round(found: DataFrame, members: DataFrame, labels: DataFrame, done: DataFrame, classes: DataFrame | None = None) -> DataFrame:
+    """Pairs of classes that the first links leave apart and that were not compared.
+
+    ``classes`` gives sizes and sketches, which leave out pairs that cannot link;
+    without it, only places do.
+    """
     label = F.coalesce("label", "class_id").alias("label")
-    placed = members.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left").select("group_id", "class_id", label)
+    labeled = members.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left").select("group_id", "class_id", label)
+    placed = write_once(labeled, "placed")
     large = found.filter("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("group_id"), "spot")
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
 
@@ -486,15 +534,21 @@ def second_round(found: DataFrame, members: DataFrame, labels: DataFrame, done:
 
     rows = buckets(large.join(placed, "group_id"), 0, "token", zero, zero, F.col("spot"))
     # members of groups that are not the group's first class; sizes and prefixes are equal, so every spot is possible
-    same = F.lit(1 << 31)
-    held = placed.groupBy("group_id").agg(F.count("*").alias("k"), F.min("label").alias("x"), F.max("label").alias("y"))
+    same = F.lit(None).cast("bigint")
+    held = write_once(placed.groupBy("group_id").agg(F.count("*").alias("k"), F.min("label").alias("x"), F.max("label").alias("y")), "held")
     inside = buckets(placed.join(held.filter("k > 1 AND x < y").select("group_id"), "group_id"), 1, "group_id", F.col("group_id"), zero, same)
     # ... and their pairs with members of other groups, only where the two groups hold different labels
     first, second = (held.select(F.col("group_id").alias(n), F.col("k").alias(f"k_{n}"), F.col("x").alias(f"x_{n}"), F.col("y").alias(f"y_{n}")) for n in "ab")
     pairs = found.filter("kind = 0").select("a", "b").distinct().join(first, "a").join(second, "b")
-    touched = pairs.filter("greatest(k_a, k_b) > 1 AND least(x_a, x_b) < greatest(y_a, y_b)").select("a", "b")
+    touched = write_once(pairs.filter("greatest(k_a, k_b) > 1 AND least(x_a, x_b) < greatest(y_a, y_b)").select("a", "b"), "touched")
     sides = [buckets(touched.join(placed.withColumnRenamed("group_id", n), n), 2, "a", F.col("b"), side, same) for n, side in (("a", one), ("b", one + one))]
-    return crossed(rows.union(inside).union(sides[0]).union(sides[1])).distinct().join(done, ["a", "b"], "left_anti")
+    every = write_once(rows.union(inside).union(sides[0]).union(sides[1]), "members")
+    if classes is None:
+        sized = every.withColumns({"n": one, "sketch": F.lit(None).cast("binary")})
+    else:
+        sized = every.join(classes.select("class_id", F.col("n").cast("bigint").alias("n"), "sketch"), "class_id")
+    ready = sized.withColumn("spot", F.coalesce("spot", F.shiftleft("n", 31))).drop("n")
+    return crossed(ready).distinct().join(done, ["a", "b"], "left_anti")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -528,11 +582,17 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     sets = write_once(sets_of(texts, write_once(needed, "needed")), "sets")
     links = write_once(verified(candidates, sets), "first-links")
     labels = connected(links)
-    more = write_once(sketched(second_round(found, members, labels, candidates), classes), "second-candidates")
-    if not more.isEmpty():
-        labels = connected(links.union(verified(more, sets)))
+    more = write_once(second_round(found, members, labels, candidates, classes), "second-candidates")
     labeled = classes.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left")
     labeled = labeled.select("class_id", "least", F.coalesce("label", "class_id").alias("label"))
+    if not more.isEmpty():
+        labeled = write_once(labeled, "first-labels")
+        joined = verified(more, sets)
+        for n in "ab":  # links of components
+            joined = joined.join(labeled.select(F.col("class_id").alias(n), F.col("label").alias(f"label_{n}")), n)
+        roots = connected(joined.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+        merged = labeled.join(roots.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left")
+        labeled = merged.select("class_id", "least", F.coalesce("root", "label").alias("label"))
     least = labeled.groupBy("label").agg(F.min("least").alias("component_id"))
     by_class = labeled.join(least, "label").select("class_id", "component_id")
     joined = rows.select("doc_id", "n", "class_id").join(by_class, "class_id", "left")
