@@ -155,3 +155,36 @@ def test_sketches_leave_out_no_pair_that_links():
     far = 100 * common < 70 * (sizes[i] + sizes[j] - common)
     assert allowed[far & (sizes[i] > 100) & (sizes[j] > 100)].sum() == 0
     assert jaccard_join.linkable([b"", b"\xff" * 8], np.array([3, 90]), np.array([0]), np.array([1])).all()
+
+
+def test_joining_links_hold_the_same_labels_together():
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    a, b = rng.integers(0, 60, 70), rng.integers(60, 120, 70)
+    kept = jaccard_join.joining(np.r_[a, a], np.r_[b, b])
+
+    def parts(x, y):
+        label = {v: v for v in range(120)}
+        for _ in range(120):
+            for p, q in zip(x, y):
+                label[p] = label[q] = min(label[p], label[q])
+        return label
+
+    x, y = np.r_[a, a][kept], np.r_[b, b][kept]
+    assert parts(x, y) == parts(a, b) and len(kept) == 120 - len(set(parts(a, b).values()))
+    assert len(jaccard_join.joining(np.empty(0, np.int64), np.empty(0, np.int64))) == 0
+
+
+def test_similar_sets_equal_all_pairs(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 30, rng.integers(20, 90))).astype(np.uint64) for _ in range(25)] + [np.empty(0, np.uint64)]
+    i, j = (x.ravel() for x in np.indices((26, 26)))
+    common = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)])
+    sizes = np.array([len(s) for s in sets])
+    expected = (100 * common >= 80 * (sizes[i] + sizes[j] - common)) | (sizes[i] == 0) | (sizes[j] == 0)
+    for compared in (8, 1 << 10, 1 << 24):
+        monkeypatch.setattr(jaccard_join, "COMPARED", compared)
+        assert (jaccard_join.similar(sets, i, j) == expected).all()

@@ -13,8 +13,9 @@ their first n - ceil(0.8 n) + 1.  The order puts shingles of many documents last
 3. Groups expand to their classes.  Bits that only one of two sets holds bound a
    pair's overlap; what passes is verified on whole sets.  Large
    buckets first link to their best members alone; what these links leave in
-   different components is then compared in blocks, and only pairs that pass the
-   bits leave a block.  Nothing is skipped but pairs already connected.
+   different components is then compared in blocks of whole sets; of a block's
+   links those that join components leave it, fewer than its members.  Nothing is
+   skipped but pairs already connected.
 4. Components come from the verified links; those of the second comparison join
    components of the first.
 
@@ -42,8 +43,8 @@ COMMON = 16
 MOST_COMMON, MOST_BITS = 1_000_000, 1 << 28
 TOKENS_PER_RANGE = 2_000_000
 SMALL, PIVOTS, BLOCK = 48, 8, 1024
-#: Most bits of a sketch, and most bytes of sketches compared at once.
-SKETCH_BITS, COMPARED = 1 << 15, 1 << 24
+#: Most bits of a sketch, most bytes compared at once, shingles that count as one member of a block.
+SKETCH_BITS, COMPARED, MEMBER = 1 << 15, 1 << 24, 1000
 
 I64 = pa.int64()
 
@@ -322,15 +323,18 @@ TRIANGLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of classes in different components that places and sketches allow, cell by cell.
+    """Links that join different components, cell by cell.
 
     A cell compares a block of the members outside the bucket's largest component
     (``minor``) with a block of all members.  Members of one ``side`` other than 0
-    are not compared.
+    are not compared.  Of links between the same components of a cell one is
+    enough.  Pairs with a member whose set is not given are all returned.
     """
     held = list(batches)
     kind, token, other, low, high, minor, side, spots, ids, labels = _whole(iter(held), 10)
-    sketches = [blob or b"" for batch in held for blob in batch.column("sketch").to_pylist()]
+    sets = [np.frombuffer(blob or b"", np.uint64) for batch in held for blob in batch.column("shingles").to_pylist()]
+    sketches = [sketch(own) if len(own) else b"" for own in sets]
+    sizes = np.array([len(own) for own in sets], np.int64)
     order = np.lexsort((high, low, other, token, kind))
     keys = np.stack([kind, token, other, low, high])[:, order]
     new = (keys[:, 1:] != keys[:, :-1]).any(axis=0)
@@ -341,19 +345,24 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fits &= possible(spots[left][:, None], spots[right])
         i, j = (rows[at] for rows, at in zip((left, right), np.nonzero(fits)))
         close = linkable(sketches, spots >> 31, i, j)
-        a, b = _unique_pairs(ids[i[close]], ids[j[close]])
+        i, j = i[close], j[close]
+        close = similar(sets, i, j)
+        i, j = i[close], j[close]
+        given = (sizes[i] > 0) & (sizes[j] > 0)
+        kept = np.concatenate([np.flatnonzero(~given), np.flatnonzero(given)[joining(labels[i[given]], labels[j[given]])]])
+        a, b = _unique_pairs(ids[i[kept]], ids[j[kept]])
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
 def crossed(rows: DataFrame) -> DataFrame:
-    """Pairs of members with different labels of every bucket (kind, token, other).
+    """Links that join members with different labels of every bucket (kind, token, other).
 
-    Buckets of one label are left out.  One of two different labels is not the
+    Blocks hold BLOCK members, fewer where their sets are large.  Buckets of one label are left out.  One of two different labels is not the
     bucket's largest, so only members without that label are dealt against all:
     no more than about twice the pairs that have to be compared.
     """
     key = ["kind", "token", "other"]
-    by_label = rows.groupBy(*key, "label").agg(F.count("*").alias("m"))
+    by_label = rows.groupBy(*key, "label").agg(F.sum(F.ceil(F.shiftright("spot", 31) / MEMBER)).alias("m"))
     largest = F.max(F.struct("m", "label"))
     apart = by_label.groupBy(*key).agg(F.sum("m").alias("all"), largest.alias("largest"), F.count("*").alias("n")).filter("n > 1")
     minors = F.ceil((F.col("all") - F.col("largest.m")) / BLOCK).cast("bigint")
@@ -366,7 +375,7 @@ def crossed(rows: DataFrame) -> DataFrame:
 
     everyone = cells("lows", lambda i: [i, high, zero])
     dealt = F.when(F.col("label") == F.col("major"), everyone).otherwise(F.concat(everyone, cells("highs", lambda i: [low, i, one])))
-    columns = ["side", "spot", "class_id", "label", "sketch"]
+    columns = ["side", "spot", "class_id", "label", "shingles"]
     placed = rows.join(bounds, key).select(*key, F.explode(dealt).alias("cell"), *columns)
     return placed.select(*key, "cell.*", *columns).repartition(*key, "low", "high").mapInArrow(_cross, "a bigint, b bigint")
 
@@ -422,6 +431,55 @@ def linkable(sketches: list[bytes], sizes: np.ndarray, i: np.ndarray, j: np.ndar
     return keep
 
 
+def similar(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs (i, j) of members have sets similar enough, or one that is not given (empty)."""
+    keep = np.ones(len(i), bool)
+    if not len(i):
+        return keep
+    used, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+    sizes = np.array([len(sets[k]) for k in used])
+    codes = np.unique(np.concatenate([sets[k] for k in used]), return_inverse=True)[1]
+    ends = np.cumsum(sizes)
+    starts, marks = ends - sizes, np.zeros(len(codes) + 1, bool)
+    left, right = at[: len(i)], at[len(i) :]
+    given = np.flatnonzero((sizes[left] > 0) & (sizes[right] > 0))
+    given = given[np.argsort(left[given], kind="stable")]
+    step = max(1, COMPARED // (8 * max(1, sizes.max())))
+    for same in np.split(given, np.flatnonzero(np.diff(left[given])) + 1):
+        for pairs in np.split(same, range(step, len(same), step)):
+            if not len(pairs):
+                continue
+            one, others = left[pairs[0]], right[pairs]
+            own = codes[starts[one] : ends[one]]
+            marks[own] = True
+            before = np.cumsum(sizes[others]) - sizes[others]
+            spread = np.arange(sizes[others].sum()) + np.repeat(starts[others] - before, sizes[others])
+            common = np.add.reduceat(marks[codes[spread]], before, dtype=np.int64)
+            keep[pairs] = 100 * common >= 80 * (sizes[one] + sizes[others] - common)
+            marks[own] = False
+    return keep
+
+
+def joining(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Positions of links between labels a and b that hold the same labels together as all of them do."""
+    pairs, places = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1, return_index=True)
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := above.get(x, x)) != x:
+            above[x] = above.get(y, y)
+            x = y
+        return x
+
+    kept = []
+    for x, y, place in zip(*pairs.tolist(), places.tolist()):
+        x, y = top(x), top(y)
+        if x != y:
+            above[max(x, y)] = min(x, y)
+            kept.append(place)
+    return np.array(kept, np.int64)
+
+
 def sketched(candidates: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) that sizes and sketches of the classes allow."""
 
@@ -516,11 +574,10 @@ def ordered(a: Column, b: Column) -> tuple[Column, Column]:
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
-def second_round(found: DataFrame, members: DataFrame, labels: DataFrame, done: DataFrame, classes: DataFrame | None = None) -> DataFrame:
-    """Pairs of classes that the first links leave apart and that were not compared.
+def second_round(found: DataFrame, members: DataFrame, labels: DataFrame, done: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+    """Links that join classes that the first links leave apart.
 
-    ``classes`` gives sizes and sketches, which leave out pairs that cannot link;
-    without it, only places do.
+    Pairs of ``done`` are left out, as they have been compared.  Without ``sets``, the pairs to compare.
     """
     label = F.coalesce("label", "class_id").alias("label")
     labeled = members.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left").select("group_id", "class_id", label)
@@ -532,7 +589,9 @@ def second_round(found: DataFrame, members: DataFrame, labels: DataFrame, done:
         number = F.lit(kind).cast("bigint").alias("kind")
         return frame.select(number, F.col(token).alias("token"), other.alias("other"), side.alias("side"), spot.alias("spot"), "class_id", "label")
 
-    rows = buckets(large.join(placed, "group_id"), 0, "token", zero, zero, F.col("spot"))
+    dealt = large.join(placed, "group_id")
+    unlike = dealt.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("token")
+    rows = buckets(dealt.join(unlike, "token", "left_semi"), 0, "token", zero, zero, F.col("spot"))
     # members of groups that are not the group's first class; sizes and prefixes are equal, so every spot is possible
     same = F.lit(None).cast("bigint")
     held = write_once(placed.groupBy("group_id").agg(F.count("*").alias("k"), F.min("label").alias("x"), F.max("label").alias("y")), "held")
@@ -543,11 +602,9 @@ def second_round(found: DataFrame, members: DataFrame, labels: DataFrame, done:
     touched = write_once(pairs.filter("greatest(k_a, k_b) > 1 AND least(x_a, x_b) < greatest(y_a, y_b)").select("a", "b"), "touched")
     sides = [buckets(touched.join(placed.withColumnRenamed("group_id", n), n), 2, "a", F.col("b"), side, same) for n, side in (("a", one), ("b", one + one))]
     every = write_once(rows.union(inside).union(sides[0]).union(sides[1]), "members")
-    if classes is None:
-        sized = every.withColumns({"n": one, "sketch": F.lit(None).cast("binary")})
-    else:
-        sized = every.join(classes.select("class_id", F.col("n").cast("bigint").alias("n"), "sketch"), "class_id")
-    ready = sized.withColumn("spot", F.coalesce("spot", F.shiftleft("n", 31))).drop("n")
+    filled = every.withColumn("shingles", F.lit(None).cast("binary")) if sets is None else every.join(sets, "class_id")
+    size = F.coalesce((F.octet_length("shingles") / 8).cast("bigint"), one)
+    ready = filled.withColumn("spot", F.coalesce("spot", F.shiftleft(size, 31)))
     return crossed(ready).distinct().join(done, ["a", "b"], "left_anti")
 
 
@@ -577,17 +634,20 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     candidates = write_once(sketched(between.union(inside).distinct(), classes), "candidates")
 
     several = found.filter("kind = 1").select(F.col("b").alias("group_id")).union(first.filter("k > 1").select("group_id"))
-    later = members.join(several.distinct(), "group_id", "left_semi").select("class_id")
+    k_one, k_two = (first.filter("k > 1").select(F.col("group_id").alias(n)) for n in "ab")
+    met = found.filter("kind = 0").select("a", "b")  # groups of one class met by one of several
+    single = met.join(k_one, "a", "left_semi").select(F.col("b").alias("group_id")).union(met.join(k_two, "b", "left_semi").select(F.col("a").alias("group_id")))
+    later = members.join(several.union(single).distinct(), "group_id", "left_semi").select("class_id")
     needed = candidates.select(F.explode(F.array("a", "b")).alias("class_id")).union(later).distinct()
     sets = write_once(sets_of(texts, write_once(needed, "needed")), "sets")
     links = write_once(verified(candidates, sets), "first-links")
     labels = connected(links)
-    more = write_once(second_round(found, members, labels, candidates, classes), "second-candidates")
+    more = write_once(second_round(found, members, labels, candidates, sets), "second-links")
     labeled = classes.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left")
     labeled = labeled.select("class_id", "least", F.coalesce("label", "class_id").alias("label"))
     if not more.isEmpty():
         labeled = write_once(labeled, "first-labels")
-        joined = verified(more, sets)
+        joined = more
         for n in "ab":  # links of components
             joined = joined.join(labeled.select(F.col("class_id").alias(n), F.col("label").alias(f"label_{n}")), n)
         roots = connected(joined.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
