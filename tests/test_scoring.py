@@ -209,3 +209,34 @@ def test_a_transform_checks_its_lexicon_once(spark, monkeypatch):
     docs = spark.createDataFrame([(1, ["that"])], "doc_id bigint, tokens array<string>")
     score = scoring.score_documents(scoring.lexicon_table(spark, {"that": 1}))
     assert [rows(docs.transform(score), "score") for _ in range(2)] == [[(1,)]] * 2 and len(calls) == 1
+
+
+def test_shuffled_form_moves_tokens_by_block(spark, monkeypatch):
+    """The table that meets the lexicon has the distinct tokens of blocks, not those of every document."""
+    written = {}
+    write = scoring.write_once
+    monkeypatch.setattr(scoring, "write_once", lambda frame, name: written.setdefault(name, write(frame, name)))
+    docs = spark.range(0, 200, 1, 2).selectExpr("id AS doc_id", "transform(sequence(0, 29), i -> concat('t', i)) AS tokens")
+    scores = scoring.shuffled_scores(docs, scoring.lexicon_table(spark, {"t1": 2, "t2": -1}))
+    assert rows(scores, *COLUMNS[:4], "token_count") == sorted(((i, 1, 1, 1, 30) for i in range(200)), key=repr)
+    assert max(frame.count() for name, frame in written.items() if "token" in name) == 60
+
+
+@pytest.mark.parametrize("size", [1, 100, 10**6])
+def test_shuffled_form_with_blocks_of_any_size(spark, monkeypatch, size):
+    monkeypatch.setattr(scoring, "BLOCK_BYTES", size)
+    monkeypatch.setattr(scoring, "SMALL", 16)
+    monkeypatch.setattr(scoring, "BLOCK_BUCKETS", 3)
+    docs, texts, weights = random_corpus(spark, 13, 3)
+    odd = [(1000, ["a\nb", "w2"]), (1001, [""]), (1002, ["", ""]), (1003, []), (1004, ["hot\n"]), (1005, ["\n", "hot"]), (1006, ["x" * 500, "hot"])]
+    weights |= {"a\nb": 5, "": 7, "hot\n": 11, "\n": 13}
+    docs = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    scores = scoring.shuffled_scores(docs, scoring.as_lexicon(scoring.lexicon_table(spark, weights)))
+    assert rows(scores, *COLUMNS[:4]) == sorted((r[:4] for r in brute_force(texts + odd, weights)), key=repr)
+    assert rows(scores, "doc_id", "token_count") == sorted(((i, len(t)) for i, t in texts + odd), key=repr)
+
+
+def test_shuffled_scores_refuse_repeated_ids(spark):
+    docs = spark.createDataFrame([(1, ["a"]), (1, ["b"])], "doc_id bigint, tokens array<string>")
+    with pytest.raises(PySparkException, match="not unique"):
+        scoring.shuffled_scores(docs, scoring.lexicon_table(spark, {"a": 1})).collect()

@@ -8,8 +8,10 @@ Four ways to look tokens up, chosen by the size of the lexicon:
   indexed by the token's hash.  The cost of a token does not depend on the
   number of terms; no explode, no shuffle, runs on streams.
 * broadcast - on request: such a lexicon is joined to the exploded tokens.
-* shuffled - a larger lexicon is joined by shuffle; words so frequent that
-  they would burden one task are resolved by a bounded broadcast first.
+* shuffled - of a larger lexicon every block of documents gets the buckets of
+  the terms that it holds.  Only the distinct tokens of the blocks meet the
+  lexicon by shuffle; those so frequent that they would burden one task are
+  resolved by a bounded broadcast first.
 """
 
 from __future__ import annotations
@@ -34,9 +36,18 @@ LITERAL_TERMS_ON_REQUEST = 10_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Rough cost of one term in a broadcast hash table besides its characters.
 TERM_OVERHEAD = 64
-# A token with more than 1/HOT_PARTS of all tokens is hot; there are fewer
-# than HOT_PARTS of them.
+# A token with more than 1/HOT_PARTS of all distinct tokens of blocks is hot;
+# there are fewer than HOT_PARTS of them.
 HOT_PARTS = 4096
+# Bytes of a block's tokens (a longer document is a block by itself), the size
+# up to which documents count alike, the buckets of a block's terms, and bytes
+# of the blocks of one partition.
+BLOCK_BYTES = 32 * 1024 * 1024
+SMALL = 8192
+BLOCK_BUCKETS = 4096
+PARTITION_BYTES = 64 * 1024 * 1024
+# Tokens are written and shuffled as one string, much shorter than a list.
+BREAK = "\n"
 
 SCORE_COLUMNS = ("score", "positive_hits", "negative_hits")
 
@@ -175,6 +186,19 @@ def lexicon_buckets(lexicon: DataFrame, buckets: int) -> DataFrame:
     return every.agg(F.transform(listed, lambda b: F.map_from_entries(b["terms"])).alias("buckets"))
 
 
+def _weight_in(buckets: Column, word: Column, count: int) -> Column:
+    return F.try_element_at(F.get(buckets, F.pmod(F.xxhash64(word), F.lit(count)).cast("int")), word)
+
+
+def _weight_sums(weights: Column) -> list[Column]:
+    """The score columns from a list of weights."""
+    return [
+        F.aggregate(weights, F.lit(0).cast("bigint"), lambda total, w: total + w).alias("score"),
+        F.size(F.filter(weights, lambda w: w > 0)).cast("bigint").alias("positive_hits"),
+        F.size(F.filter(weights, lambda w: w < 0)).cast("bigint").alias("negative_hits"),
+    ]
+
+
 def bucketed_scores(docs: DataFrame, lexicon: DataFrame, fold: bool = True) -> DataFrame:
     """Add the score columns to documents with ``tokens``.
 
@@ -188,8 +212,7 @@ def bucketed_scores(docs: DataFrame, lexicon: DataFrame, fold: bool = True) -> D
     known = docs.select("*", lexicon_buckets(lexicon, buckets).scalar().alias("_buckets"))
 
     def weight(token: Column) -> Column:
-        word = F.lower(token) if fold else token
-        return F.try_element_at(F.get(F.col("_buckets"), F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int")), word)
+        return _weight_in(F.col("_buckets"), F.lower(token) if fold else token, buckets)
 
     def weighed(tokens: Column) -> Column:
         weights = F.filter(F.transform(tokens, weight), lambda w: w != 0)
@@ -198,12 +221,9 @@ def bucketed_scores(docs: DataFrame, lexicon: DataFrame, fold: bool = True) -> D
     tokens = F.coalesce(F.col("tokens"), F.array().cast("array<string>"))
     pair = F.transform(F.array(tokens), weighed)[0].alias("_pair")
     paired = known.select(*[name for name in docs.columns if name != "tokens"], pair)
-    weights = F.col("_pair.weights")
     return paired.select(
         *[F.col("_pair.tokens").alias(name) if name == "tokens" else name for name in docs.columns],
-        F.aggregate(weights, F.lit(0).cast("bigint"), lambda total, w: total + w).alias("score"),
-        F.size(F.filter(weights, lambda w: w > 0)).cast("bigint").alias("positive_hits"),
-        F.size(F.filter(weights, lambda w: w < 0)).cast("bigint").alias("negative_hits"),
+        *_weight_sums(F.col("_pair.weights")),
     )
 
 
@@ -261,6 +281,69 @@ def broadcast_scores(
     return _sum_hits(weighted.withColumn("n", n), carry, copies)
 
 
+def _blocks(docs: DataFrame, fold: bool, key: list[str]) -> DataFrame:
+    """``key``, the tokens, ``_size`` and ``_block`` of every document, written once.
+
+    A block takes rows that follow each other in an input partition and whose
+    sizes round up to the same power of two, as many as fit.  The tokens are
+    ``joined``, or ``listed`` where there are none or one holds the break itself.
+    """
+    tokens = F.array_compact(F.coalesce(F.col("tokens"), F.array().cast("array<string>")))
+    if fold:
+        tokens = F.transform(tokens, F.lower)
+    rows = docs.select(*key, tokens.alias("listed"), F.monotonically_increasing_id().alias("_row"))
+    joined = rows.withColumn("joined", F.array_join("listed", BREAK))
+    size = F.octet_length("joined").cast("bigint")
+    breaks = size - F.octet_length(F.replace(F.col("joined"), F.lit(BREAK)))
+    sized = joined.select("*", size.alias("_size"), (breaks == F.size("listed") - 1).alias("_plain"))
+    power = sized.withColumn("_power", F.ceil(F.log2(F.greatest("_size", F.lit(SMALL).cast("bigint")))).cast("int"))
+    fitting = power.withColumn("_fit", F.expr(f"greatest(1, {BLOCK_BYTES} div shiftleft(1L, _power))"))
+    # The low 33 bits of a row number count within its partition.
+    block = F.expr(f"shiftleft(_row - (_row & {(1 << 33) - 1}) % _fit, 6) | _power").alias("_block")
+    lists = [F.when(F.col("_plain"), F.col("joined")).alias("joined"), F.when(~F.col("_plain"), F.col("listed")).alias("listed")]
+    return write_once(fitting.select(*key, *lists, "_size", block), "blocks")
+
+
+def _listed(joined: Column, listed: Column) -> Column:
+    return F.coalesce(F.split(joined, BREAK), listed)
+
+
+def _block_terms(blocks: DataFrame, lexicon: DataFrame, hot_parts: int) -> DataFrame:
+    """``_block``, token and weight of the lexicon terms that each block holds; no zero weights."""
+    tokens = _listed(F.col("joined"), F.col("listed"))
+    held = write_once(blocks.select("_block", F.explode(tokens).alias("token")).distinct(), "block-tokens")
+    terms = lexicon.select("token", "weight")
+
+    frequencies = held.groupBy("token").agg(F.count(F.lit(1)).alias("frequency"))
+    hot = frequencies.filter(F.col("frequency") * hot_parts > held.count()).select("token")
+    hot_terms = F.broadcast(hot.join(terms, "token", "left").withColumn("hot", F.lit(True)))
+
+    marked = held.join(hot_terms, "token", "left")
+    here = F.coalesce(F.col("hot"), F.lit(False))
+    columns = ["_block", "token", "weight"]
+    resolved = marked.filter(here).select(columns)
+    looked_up = marked.filter(~here).drop("weight", "hot").join(terms, "token").select(columns)
+    return resolved.unionByName(looked_up).filter(F.col("weight") != 0)
+
+
+def _block_buckets(blocks: DataFrame, terms: DataFrame, parts: int) -> DataFrame:
+    """``_block`` and its ``buckets``, an array of small maps; a term is in the map of its hash.
+
+    A row per block that names every bucket makes the arrays dense.
+    """
+    every = blocks.select("_block").distinct()
+    rows = terms.unionByName(every, allowMissingColumns=True).repartition(parts, "_block")
+    known = F.col("token").isNotNull()
+    at = F.array(F.pmod(F.xxhash64("token"), F.lit(BLOCK_BUCKETS)).cast("int"))
+    ids = F.when(known, at).otherwise(F.sequence(F.lit(0), F.lit(BLOCK_BUCKETS - 1)))
+    term = F.when(known, F.struct("token", "weight")).alias("term")
+    lists = rows.select("_block", F.explode(ids).alias("id"), term).groupBy("_block", "id").agg(
+        F.collect_list("term").alias("terms")
+    )
+    listed = F.array_sort(F.collect_list(F.struct("id", "terms")))
+    return lists.groupBy("_block").agg(F.transform(listed, lambda b: F.map_from_entries(b["terms"])).alias("buckets"))
+
+
 def shuffled_scores(
     docs: DataFrame,
     lexicon: DataFrame,
@@ -271,32 +354,37 @@ def shuffled_scores(
 ) -> DataFrame:
     """As ``broadcast_scores`` for a lexicon too large to broadcast.
 
-    Tokens are counted per document first, in a written table, so that the
-    texts are cleaned once.  The fewer than ``hot_parts`` hot
-    tokens (by rows of that table) get their weights by broadcast, the others by a shuffled join in
-    which no key is hot.
+    No token is shuffled by itself.  The documents are written once, in blocks
+    of bounded size, and the distinct tokens of every block get their weights:
+    the fewer than ``hot_parts`` hot ones (by rows of that table) by broadcast,
+    the others by a shuffled join in which no key is hot.  Blocks and their
+    buckets then meet by the number of the block, and each document's tokens
+    are looked up there as in the bucketed form.
     """
-    carry = list(carry)
-    counted = write_once(
-        _exploded(docs, fold, carry)
-        .groupBy("doc_id", *carry, "token")
-        .agg(F.count("token").alias("n"), F.sum("starts").alias("starts")),
-        "token-counts",
+    key = ["doc_id", *carry]
+    blocks = _blocks(docs, fold, key)
+    size = blocks.agg(F.sum("_size")).first()[0] or 0
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // PARTITION_BYTES))
+
+    buckets = _block_buckets(blocks, _block_terms(blocks, lexicon, hot_parts), parts)
+    listed = blocks.select("_block", F.struct(*key, "joined", "listed").alias("doc")).repartition(parts, "_block")
+    together = listed.groupBy("_block").agg(F.collect_list("doc").alias("docs")).join(buckets.hint("shuffle_hash"), "_block")
+
+    def weighed(doc: Column) -> Column:
+        tokens = _listed(doc["joined"], doc["listed"])
+        weights = F.transform(tokens, lambda token: _weight_in(F.col("buckets"), token, BLOCK_BUCKETS))
+        return F.struct(*[doc[name].alias(name) for name in key], weights.alias("weights"))
+
+    scored = together.select(F.explode(F.transform("docs", weighed)).alias("doc")).select(
+        *[F.col("doc")[name].alias(name) for name in key],
+        *_weight_sums(F.filter("doc.weights", lambda w: w != 0)),
+        F.size("doc.weights").cast("bigint").alias("token_count"),
     )
-    terms = lexicon.select("token", "weight")
-
-    frequencies = counted.groupBy("token").agg(F.count("token").alias("frequency"))
-    in_all = counted.agg(F.count("token")).first()[0]
-    hot = frequencies.filter(F.col("frequency") * hot_parts > in_all).select("token")
-    hot_terms = F.broadcast(hot.join(terms, "token", "left").withColumn("hot", F.lit(True)))
-
-    marked = counted.join(hot_terms, "token", "left")
-    here = F.coalesce(F.col("hot"), F.lit(False)) | F.col("token").isNull()
-    columns = ["doc_id", *carry, "n", "starts", "weight"]
-    resolved = marked.filter(here).select(columns)
-    others = marked.filter(~here).drop("weight", "hot")
-    looked_up = others.join(terms, "token", "left").select(columns)
-    return _sum_hits(resolved.unionByName(looked_up), carry, copies)
+    merged = {name: F.max(name) for name in (*SCORE_COLUMNS, "token_count")}
+    if not copies:
+        message = F.concat(F.lit("doc_id is not unique: "), F.col("doc_id").cast("string"))
+        merged["score"] = F.when(F.count(F.lit(1)) > 1, F.raise_error(message).cast("bigint")).otherwise(merged["score"])
+    return scored.groupBy(*key).agg(*[value.alias(name) for name, value in merged.items()])
 
 
 # --- public transforms ------------------------------------------------------
@@ -368,7 +456,7 @@ def score_corpus(
     key, tokens = text_key(F.col("text")), text_tokens(F.col("text")).alias("tokens")
     read = filled.select("doc_id", *carry, key.alias("text_key"), tokens)
     if chosen == "shuffled":
-        # Every token is shuffled, so the copies' tokens merge in their tasks.
+        # Copies are scored where they are read; their numbers merge before the join.
         texts = filled.select(key.alias("doc_id"), tokens)
         scores = shuffled_scores(texts, lexicon, fold=False, copies=True).withColumnRenamed("doc_id", "text_key")
         rows = filled.select("doc_id", *carry, key.alias("text_key"))
