@@ -240,3 +240,17 @@ def test_shuffled_scores_refuse_repeated_ids(spark):
     docs = spark.createDataFrame([(1, ["a"]), (1, ["b"])], "doc_id bigint, tokens array<string>")
     with pytest.raises(PySparkException, match="not unique"):
         scoring.shuffled_scores(docs, scoring.lexicon_table(spark, {"a": 1})).collect()
+
+
+def test_bucketed_form_beyond_the_bound_of_one_row(spark, monkeypatch):
+    """Such a lexicon comes by blocks of documents; a stream still refuses it."""
+    docs, texts, weights = random_corpus(spark, 14, 3)
+    lexicon = scoring.lexicon_table(spark, weights)
+    monkeypatch.setattr(scoring, "BROADCAST_BYTES", 1000)
+    assert rows(docs.transform(scoring.score_documents(lexicon, "bucketed")), *COLUMNS) == brute_force(texts, weights)
+    raw = docs.filter("size(tokens) > 0").selectExpr("doc_id", "concat_ws(' ', doc_id + 1000, array_join(tokens, ' ')) AS text")
+    wanted = [r for r, (_, tokens) in zip(sorted(brute_force(texts, weights)), texts) if tokens]
+    assert rows(scoring.score_corpus(raw, lexicon, "bucketed"), *COLUMNS) == sorted(wanted, key=repr)
+    stream = spark.readStream.format("rate").load().selectExpr("value AS doc_id", "array('w0') AS tokens")
+    with pytest.raises(ValueError, match="a stream takes"):
+        scoring.score_documents(lexicon, "bucketed")(stream)

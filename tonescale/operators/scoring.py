@@ -120,9 +120,12 @@ def checked_lexicon(lexicon: DataFrame, form: str) -> tuple[DataFrame, str, dict
     """The folded lexicon, the form to use, and the mapping of the literal form.
 
     For a join the lexicon becomes a local relation or, with many terms, a
-    written table, so no plan of documents repeats its check.
+    written table, so no plan of documents repeats its check.  Buckets beyond
+    the bound of one row are made by blocks of documents, in the shuffled form.
     """
     terms = as_lexicon(lexicon)
+    if form == "bucketed" and lexicon_bytes(terms) > BROADCAST_BYTES:
+        form = "shuffled"
     chosen, weights = choose_form(terms, form)
     if weights is None:
         local = small_lexicon(terms, LITERAL_TERMS_ON_REQUEST)
@@ -408,6 +411,8 @@ def score_documents(
         if not checked:
             checked.append(checked_lexicon(lexicon, form))
         terms, chosen, weights = checked[0]
+        if docs.isStreaming and chosen == "shuffled":
+            raise ValueError(f"a stream takes a lexicon of at most {BROADCAST_BYTES} bytes")
         docs = docs.withColumns(
             {
                 "doc_id": F.coalesce(F.col("doc_id"), F.lit(-1).cast("bigint")),
