@@ -67,3 +67,20 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert count_tokens(docs, PATH).columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
     assert count_tokens(docs, PATH).count() == 0
+
+
+def test_words_met_before_the_flush_stay_known(library, monkeypatch):
+    monkeypatch.setattr("tonescale.llm.token_counts.MAX_WORDS", 3)
+    small = Transducer(PATH)
+    known = [small.word(w) for w in (" one", " two", " six")]
+    small.word(" ten")
+    monkeypatch.setattr(small, "run", lambda *a: pytest.fail("counted again"))
+    assert [small.word(w) for w in (" one", " two")] == known[:2]
+
+
+def test_last_characters_make_no_states(machine, library):
+    machine.word(" zqxjzqx")
+    made = len(machine.states)
+    words = [" zqxjzqx" + c for c in "abcdeé1! 'sᵃ\t"]
+    assert [machine.word(w) for w in words] == [library(w) for w in words]
+    assert len(machine.states) <= made + 1  # the place behind the prefix itself

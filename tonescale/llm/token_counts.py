@@ -43,6 +43,7 @@ OVER = 512
 MARK = "\udfff"
 # Contractions of the pre-token pattern, and white space.
 SHORT = ("s", "t", "m", "d")
+INSIDE = ("letter", "number", "other")
 LONG = {"r": "e", "v": "e", "l": "l"}
 WHITE = "\t-\r \x85\xa0  -     　"
 
@@ -137,7 +138,9 @@ class Transducer:
         self.pairs = Pairs(path)
         self.special = self.pairs.special
         self.states: dict[tuple, State] = {}
+        # Words by text: those met lately, and those met before them.
         self.words: dict[str, int] = {}
+        self.before: dict[str, int] = {}
 
     def intern(self, key: tuple, adds: int) -> State:
         full = key, adds
@@ -180,6 +183,24 @@ class Transducer:
                 longer.append((node, before, count))
         return (*((d, b, n - adds) for d, b, n in longer), (0, last, 0)), adds
 
+    def last(self, state: State, char: str) -> int:
+        """What a text's last character adds; a state that nothing leaves is not made.
+
+        Inside a pre-token the first start at which a token ends decides.
+        """
+        target = state.get(char)
+        if target is not None:
+            return target.adds
+        mode, starts, _ = state.key
+        if char > "\x7f" or char == MARK or mode not in INSIDE or mode != self.kind(char):
+            return self.step(state.key, char)[1]
+        trie, tokens, follows, byte = self.pairs.trie, self.pairs.token, self.pairs.follows, ord(char)
+        for node, before, count in starts:
+            node = trie[node].get(byte)
+            if node is not None and tokens[node] >= 0 and follows(before, tokens[node]):
+                return count + 1
+        raise ValueError(f"no token ends in {char!r}")
+
     def step(self, key: tuple, char: str) -> tuple[tuple, int]:
         mode, starts, pending = key
         if char == MARK:
@@ -220,6 +241,7 @@ class Transducer:
         return ("quote" if char == "'" else kind, now, ""), adds
 
     @staticmethod
+    @lru_cache(maxsize=4096)
     def kind(char: str) -> str:
         found = KINDS.match(char)
         return "other" if found is None else ("letter", "number", "white")[found.lastindex - 1]
@@ -262,8 +284,12 @@ class Transducer:
 
     def word(self, text: str) -> int:
         if len(self.words) >= MAX_WORDS:
-            self.words.clear()
-        adds = self.words[text] = self.run(self.start(), text)[1]
+            self.before, self.words = self.words, {}
+        adds = self.before.get(text)
+        if adds is None:
+            state, total = self.run(self.start(), text[:-1])
+            adds = total + self.last(state, text[-1])
+        self.words[text] = adds
         return adds
 
     def compose(self, one: tuple, two: tuple) -> tuple:
